@@ -1,0 +1,6 @@
+"""Named queries over the provided tables, each with the SQL that states the same result."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict = {}
