@@ -23,7 +23,7 @@ BITS = 6
 #: name, SQL of the signal in per mille or per cent, side of the limit, least distance of the limit from the median.
 SIGNALS = (
     ("symbol_rate", "n_symbols * 10000 div greatest(word_chars, 1)", 1, 100),
-    ("dup_line_rate", "n_dup_lines * 10000 div greatest(n_lines, 1)", 1, 2500),
+    ("dup_line_rate", "n_dup_lines * 10000 div greatest(n_lines, 1)", 1, 4000),
     ("repeat_rate", "n_repeat_words * 10000 div greatest(n_words, 1)", 1, 2000),
     ("caps_rate", "n_caps * 10000 div greatest(word_chars, 1)", 1, 1500),
     ("word_len", "word_chars * 100 div greatest(n_words, 1)", 1, 200),

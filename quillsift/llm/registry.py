@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillsift.llm import mixing, quality
+from quillsift.llm import chat, lines, mixing, quality
 
-QUERIES = {"op2_quality_rules": quality.op2_quality_rules, "op10_mix_sources": mixing.op10_mix_sources}
-ORACLES = {"op2_quality_rules": quality.OP2_SQL}
+QUERIES = {"op2_quality_rules": quality.op2_quality_rules, "op6_chat_format": chat.op6_chat_format, "op9_line_dedup": lines.op9_line_dedup, "op10_mix_sources": mixing.op10_mix_sources}
+ORACLES = {"op2_quality_rules": quality.OP2_SQL, "op9_line_dedup": lines.OP9_SQL}
