@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillsift.llm import chat, lines, mixing, quality
+from quillsift.llm import chat, lines, merkle, mixing, quality, toxicity
 
-QUERIES = {"op2_quality_rules": quality.op2_quality_rules, "op6_chat_format": chat.op6_chat_format, "op9_line_dedup": lines.op9_line_dedup, "op10_mix_sources": mixing.op10_mix_sources}
-ORACLES = {"op2_quality_rules": quality.OP2_SQL, "op9_line_dedup": lines.OP9_SQL}
+QUERIES = {"op2_quality_rules": quality.op2_quality_rules, "op6_chat_format": chat.op6_chat_format, "op7_toxicity": toxicity.op7_toxicity, "op8_merkle_fingerprints": merkle.op8_merkle_fingerprints, "op9_line_dedup": lines.op9_line_dedup, "op10_mix_sources": mixing.op10_mix_sources}
+ORACLES = {"op2_quality_rules": quality.OP2_SQL, "op7_toxicity": toxicity.op7_toxicity, "op8_merkle_fingerprints": merkle.op8_merkle_fingerprints, "op9_line_dedup": lines.OP9_SQL}
