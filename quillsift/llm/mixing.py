@@ -140,12 +140,16 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: in
     key = ["doc_id", "source", "size"]
     sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     taken = mix(sizes, weights, cap, seed=seed).select(*[F.col(k).alias(f"mix__{k}") for k in key], F.col("copies").alias("mix__copies"))
+    copies = F.explode(F.expr("sequence(1L, mix__copies)"))
+    if not sizes.where("doc_id is null").head(1) and not sizes.groupBy("doc_id").count().where("count > 1").head(1):
+        met = docs.join(taken.where("mix__copies > 0"), docs["doc_id"] == taken["mix__doc_id"])
+        return met.withColumn("mix__copy", copies).select(*[docs[c] for c in docs.columns])
     taken = taken.withColumn("mix__k", F.row_number().over(Window.partitionBy(*[f"mix__{k}" for k in key]).orderBy(F.col("mix__copies").desc())))
     size = word_count(F.col("text"))
     rows = docs.withColumn("mix__n", size)
     rows = rows.withColumn("mix__r", F.row_number().over(Window.partitionBy("doc_id", "source", "mix__n").orderBy(F.xxhash64("text"))))
     met = rows.join(taken, rows["doc_id"].eqNullSafe(taken["mix__doc_id"]) & rows["source"].eqNullSafe(taken["mix__source"]) & (rows["mix__n"] == taken["mix__size"]) & (rows["mix__r"] == taken["mix__k"]))
-    out = met.where("mix__copies > 0").withColumn("mix__copy", F.explode(F.expr("sequence(1L, mix__copies)")))
+    out = met.where("mix__copies > 0").withColumn("mix__copy", copies)
     return out.select(*[rows[c] for c in docs.columns])
 
 
