@@ -1,9 +1,9 @@
 """Token-ID output: one zstandard dictionary, one frame a document, and an index for access to single documents.
 
-Texts are encoded by the tokenizers library. Encoding is split by words, whose ids are remembered: both public
-vocabularies encode each pre-token on its own, so a text's ids are those of its pre-tokens in order. Texts with any
-character outside Latin letters, digits, usual punctuation and spaces, or with the start of a special token, are given
-to the tokenizer whole.
+Texts are encoded by the tokenizers library. Both public vocabularies encode each pre-token on its own, so a
+text's ids are those of its pre-tokens in order: the library's model encodes each distinct one once, and its ids are
+remembered. Texts with any character outside Latin letters, digits, usual punctuation and spaces, or with the start of a
+special token, are given to the tokenizer whole.
 
 Files (``QTOK``), each written under a hidden name and renamed, so a repeated task replaces like by like:
 magic, header (version, bytes an id, dictionary hash, documents), frames one after another, index (doc_id, null flag,
@@ -26,8 +26,8 @@ import struct
 import urllib.parse
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,19 @@ _UNSAFE = re.compile("[^\t\n\r -~ -įı-ɏ]|<\\|")
 #: fixed values: the pre-tokenizer patterns of the two public vocabularies, as their files state them
 _BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_CACHED = 300_000
+#: Entries of a generation of remembered ids.
+_CACHED = 500_000
+#: Two spaces of any kind in a row, one of them U+0020: only then do pre-tokens depend on what is before a space.
+_SPACED = ("  ", *(x for c in "\t\n\r\xa0" for x in (" " + c, c + " ")))
+
+
+def _byte_chars() -> dict[int, int]:
+    """The characters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in plain)}
+
+
+_BYTE_CHARS = _byte_chars()
 
 
 class Encoder:
@@ -58,30 +70,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        lower = os.path.basename(path).startswith("word_bpe")
-        known = lower or os.path.basename(path).startswith("byte_bpe")
-        self.split = regex.compile(_WORD_SPLIT if lower else _BYTE_SPLIT).findall if known else None
-        self.lower, self.ids = lower, {}
+        self.lower = os.path.basename(path).startswith("word_bpe")
+        known = self.lower or os.path.basename(path).startswith("byte_bpe")
+        self.split = regex.compile(_WORD_SPLIT if self.lower else _BYTE_SPLIT).findall if known else None
+        tokenize = self.tokenizer.model.tokenize
+
+        class Ids(dict):
+            """Packed ids of pre-tokens, and of chunks: what stands between two spaces, the first space with it.
+
+            When it is full, its entries are the old generation: those met again move back, the others go next time.
+            """
+
+            old: dict[str, bytes] = {}
+
+            def __missing__(inner, chunk: str) -> bytes:  # noqa: N805
+                got = inner.old.get(chunk)
+                if got is None:
+                    parts = None if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) else self.split(chunk)
+                    if parts is None or len(parts) == 1:
+                        got = array("I", [t.id for t in tokenize(chunk.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+                    else:
+                        got = b"".join(map(inner.__getitem__, parts))
+                if len(inner) >= _CACHED:
+                    inner.old = dict(inner)
+                    inner.clear()
+                inner[chunk] = got
+                return got
+
+        self.chunks = Ids()
+
+    def _ids(self, text: str) -> np.ndarray:
+        if self.split is None or _UNSAFE.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        if self.lower:
+            parts = text.lower().split()
+        elif any(x in text for x in _SPACED):
+            parts = self.split(text)
+        else:
+            parts = text.replace(" ", "\0 ").split("\0")
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, parts)), np.uint32)
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        parts: list[list[str] | None] = []
-        whole = []
-        for t in texts:
-            if self.split is None or _UNSAFE.search(t):
-                parts.append(None)
-                whole.append(t)
-            else:
-                parts.append(self.split(t.lower() if self.lower else t))
-        seen = set().union(*(p for p in parts if p))
-        if len(self.ids) + len(seen) > _CACHED:
-            self.ids = {k: v for k, v in self.ids.items() if k in seen}
-        new = list(seen.difference(self.ids))
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            self.ids.update(zip(some, (tuple(e.ids) for e in self.tokenizer.encode_batch(some, add_special_tokens=False)), strict=True))
-        direct = iter(self.tokenizer.encode_batch(whole, add_special_tokens=False) if whole else ())
-        get = self.ids.__getitem__
-        return [np.array(next(direct).ids, np.uint32) if p is None else np.fromiter(chain.from_iterable(map(get, p)), np.uint32) for p in parts]
+        return [self._ids(t) for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
