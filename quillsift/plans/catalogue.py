@@ -1,6 +1,662 @@
-"""Named queries over the provided tables, each with the SQL that states the same result."""
+"""Named queries over the provided tables, each with the SQL that states the same result where SQL can.
+
+``documents`` plays the records of the engine: text is the abstract, its first line the title, its lines the sections. As its prose is
+invented, sentences for the claim detectors are composed from the order tables, so that SQL can say from the same
+columns what the detectors have to find.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillsift import thresholds as H
+from quillsift.functions import patterns as P
+from quillsift.functions import similarity, text
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, risk, rules
+from quillsift.sources import markup
+from quillsift.sources.tables import rule_id
+
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def _counts(sql: str) -> str:
+    """DuckDB counts conditions as 128-bit numbers: cast them."""
+    out, at = "", 0
+    while (i := sql.find("count_if(", at)) >= 0:
+        depth, j = 1, i + len("count_if(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            j += 1
+        out, at = out + sql[at:j] + "::bigint", j
+    return out + sql[at:]
+
+
+def query(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = _counts(sql)
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, original, skeleton, title, masked_title of ``documents``."""
+    title = F.split("text", "\n")[0]
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("original"), F.lower("text").alias("skeleton"), title.alias("title"), F.lower(title).alias("masked_title"), "source", "lang")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, section, text: each line under its place."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n"))).select("id", F.concat(F.lit("line "), F.col("pos").cast("string")).alias("section"), F.col("col").alias("text"))
+
+
+# SQL that many oracles share
+
+FORM = "trim(regexp_replace(lower(coalesce({x}, '')), '[^0-9a-z]+', ' ', 'g'))"
+WORDS = "list_filter(string_split(" + FORM + ", ' '), lambda t: t <> '')"
+_F, _W, _TW = FORM.format(x="text"), WORDS.format(x="text"), WORDS.format(x="split_part(text, chr(10), 1)")
+_TF = FORM.format(x="split_part(text, chr(10), 1)")
+
+
+def _bounded(keys: str, cap: int = H.MAX_BUCKET) -> str:
+    return f"""k as (select distinct * from ({keys})), n as (select key, count(*) as n, min(id) as low from k group by 1 having count(*) > 1)
+select distinct x.id as a, y.id as b from k x join k y on x.key = y.key and x.id < y.id join n on n.key = x.key where n.n <= {cap}
+union select n.low as a, k.id as b from k join n on n.key = k.key where n.n > {cap} and k.id > n.low"""
+
+
+def _capped(keys: str, cap: int = H.MAX_BUCKET) -> str:
+    return f"""k as (select distinct * from ({keys})), n as (select key from k group by 1 having count(*) between 2 and {cap})
+select distinct x.id as a, y.id as b from k x join n on n.key = x.key join k y on x.key = y.key and x.id < y.id"""
+
+
+def _grams(words: str, n: int, where: str = "true") -> str:
+    parts = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(n))
+    return f"select id, {parts} as key from (select id, w, unnest(range(1, len(w) - {n - 2})) as i from (select doc_id as id, {words} as w from documents) where len(w) >= {n} and {where})"
+
+
+def _shared(grams: str, least: int, cap: int, raw: bool = False) -> str:
+    return f"""g as ({grams}), k as (select distinct * from g), n as (select key from {'g' if raw else 'k'} group by 1 having count(*) between 2 and {cap})
+select x.id as a, y.id as b from k x join n on n.key = x.key join k y on x.key = y.key and x.id < y.id group by 1, 2 having count(*) >= {least}"""
+
+
+# Text
+
+
+@query(f"select doc_id, {_F} as form, len({_W})::bigint as n_tokens, regexp_replace(trim(regexp_replace(text, '[\\x09-\\x0D\\x20\\x{{00A0}}\\x{{2000}}-\\x{{200A}}]+', ' ', 'g')), '^ +| +$', '', 'g') as squeezed from documents")
+def normalize_text(spark, sf_dir):
+    """T1-T3."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.match_form(F.col("text")).alias("form"), F.size(text.tokens(F.col("text"))).cast("long").alias("n_tokens"), text.squeeze(F.col("text")).alias("squeezed"))
+
+
+_CC = f"""select doc_id, case when contains(form, 'trial in progress') then 'trials_in_progress' when contains(form, 'late breaking') then 'late_breaking_placeholder'
+ when len(w) = 0 or c = 0 then 'empty_or_unusable' when c < 5 or c / len(w) < 0.35 then 'administrative_boilerplate' when c < 25 then 'valid_short' else 'comparable' end as content_class
+ from (select *, len(list_filter(w, lambda t: t not in ({', '.join(repr(w) for w in P.PLACEHOLDER_WORDS)}))) as c from (select doc_id, {FORM.format(x="source || ' ' || text")} as form,
+ list_filter(string_split({FORM.format(x="regexp_replace(" + _F + ", '\\b(?:n a n a|not applicable|none|n a)\\b', ' ', 'g')")}, ' '), lambda t: t <> '') as w from documents))"""
+
+
+@query(_CC)
+def content_class(spark, sf_dir):
+    """T14."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.content_class(F.col("source"), F.lit(""), F.col("text"), F.col("text")).alias("content_class"))
+
+
+def _masked_sql(x: str) -> str:
+    out = f"regexp_replace({x}, '(?i){P.TRIAL}', '<TRIAL_ID>', 'g')"
+    out = f"lower(regexp_replace({out}, '{P.GENE}', '<GENE>', 'g'))"
+    for pattern, name in ((P.URL, "URL"), (P.EMAIL, "EMAIL"), *((d, "DATE") for d in P.DATES), (P.PVALUE, "PVAL"), (P.PERCENT, "PCT"), (P.DRUG, "DRUG"), (P.NUMBER, "NUM")):
+        out = f"regexp_replace({out}, '(?i){pattern}', '<{name}>', 'g')"
+    return f"trim(regexp_replace({out}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+
+
+@query(f"select doc_id, {_masked_sql('text')} as masked from documents")
+def mask_variables(spark, sf_dir):
+    """T13."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.mask(F.col("text")).alias("masked"))
+
+
+@query(f"""with m as (select doc_id, regexp_extract_all({_masked_sql('text')}, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from documents),
+c as (select doc_id, k, count(*) // 5 as n from (select doc_id, unnest(p) as k from m) group by 1, 2)
+select m.doc_id, coalesce((select string_agg(k || n::varchar, ':' order by k) from c where c.doc_id = m.doc_id), 'NOPLACEHOLDER') as shape from m""")
+def entity_shape(spark, sf_dir):
+    """T15."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.entity_shape(text.mask(F.col("text"))).alias("shape"))
+
+
+@query("""select doc_id, (greatest(ceil(length(text) / 3), ceil(len(list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) * 1.5)) + 16)::bigint as tokens from documents""")
+def estimated_tokens(spark, sf_dir):
+    """T19."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.estimated_tokens(F.col("text")).alias("tokens"))
+
+
+@query("""select o_orderkey, regexp_extract(o_orderdate::varchar, '(19|20)[0-9]{2}') as year, floor(o_totalprice)::int as price, case when o_orderkey % 2 = 0 then lower(o_orderpriority) else '10.' || o_orderkey end as doi from orders""")
+def parsed_fields(spark, sf_dir):
+    """T9, T12."""
+    o = table(spark, sf_dir, "orders")
+    price = F.format_number(F.floor("o_totalprice"), 0)
+    link = F.when(F.col("o_orderkey") % 2 == 0, F.upper("o_orderpriority")).otherwise(F.concat(F.lit("HTTPS://doi.org/10."), F.col("o_orderkey").cast("string")))
+    return o.select("o_orderkey", text.year_of(F.col("o_orderdate").cast("string")).alias("year"), text.safe_int(price).alias("price"), text.doi(link).alias("doi"))
+
+
+# Records
+
+
+@query("""with x as (select doc_id % 300 as k, 'd/' || source || '.xml' as f, text, doc_id from documents), r as (select *, row_number() over (partition by k, f, text order by doc_id) as r from x),
+y as (select *, row_number() over (partition by k order by doc_id) as n, regexp_replace(regexp_replace(f, '^.*/', ''), '\\.[^.]*$', '') as stem from r where r = 1),
+z as (select *, row_number() over (partition by k, stem, n > 1 order by doc_id) as j from y)
+select doc_id as seq, case when n = 1 then k::varchar when j = 1 then k || '__' || stem else k || '__' || stem || '__' || j end as unique_id from z""")
+def dedupe_records(spark, sf_dir):
+    """A1, on ids that clash."""
+    d = table(spark, sf_dir, "documents")
+    rows = d.select((F.col("doc_id") % 300).cast("string").alias("record_id"), F.concat(F.lit("d/"), "source", F.lit(".xml")).alias("source_file"), F.col("text").alias("content"), F.col("doc_id").alias("seq"))
+    return risk.dedupe_records(rows).select("seq", "unique_id")
+
+
+@query("""with u as (unpivot (select count(*) as total, count(text) as text, count(lang) as lang, count(source) as source from documents) on text, lang, source into name field value present)
+select field, present, round(100.0 * present / total, 2) as percent, case field when 'text' then (select min(text) from documents) when 'lang' then (select min(lang) from documents) else (select min(source) from documents) end as example from u""")
+def field_inventory(spark, sf_dir):
+    """A5."""
+    return risk.field_inventory(table(spark, sf_dir, "documents"), ["text", "lang", "source"])
+
+
+# Blocking
+
+
+@query(f"with {_bounded(f'select doc_id as id, {_F} as key from documents where {_F} <> {chr(39)}{chr(39)}')}")
+def exact_original_pairs(spark, sf_dir):
+    """B3 with B0."""
+    return blocking.equal_text_pairs(records(spark, sf_dir), "original")
+
+
+@query(f"with {_bounded(f'select doc_id as id, {_F} as key from documents where {_F} <> {chr(39)}{chr(39)}', 3)}")
+def exact_pairs_small_cap(spark, sf_dir):
+    """B0's star: buckets of more than three."""
+    return blocking.equal_text_pairs(records(spark, sf_dir), "original", 3)
+
+
+@query(f"with {_capped(f'''select doc_id as id, (length(lower(text)) // 40)::varchar || '|' || array_to_string(w[1:15], ' ') as key from (select doc_id, text, {_W} as w from documents) where len(w) > 0''')}")
+def prefix_block_pairs(spark, sf_dir):
+    """B1."""
+    return blocking.prefix_pairs(records(spark, sf_dir))
+
+
+@query(f"""with m as (select doc_id, {_masked_sql('text')} as s from documents), p as (select doc_id, s, regexp_extract_all(s, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from m),
+c as (select doc_id, s, k, count(*) // 5 as n from (select doc_id, s, unnest(p) as k from p) group by all), h as (select doc_id as id, (length(s) // 40)::varchar || '|' || string_agg(k || n::varchar, ':' order by k) as key from c group by doc_id, s),
+{_capped('select id, key from h')}""")
+def shape_block_pairs(spark, sf_dir):
+    """B2."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.mask(F.col("text")).alias("skeleton"))
+    return blocking.shape_pairs(d)
+
+
+_LINES = "select doc_id as id, unnest(range(0, len(l))) as p, unnest(l) as text from (select doc_id, string_split(text, chr(10)) as l from documents)"
+
+
+@query(f"with l as ({_LINES}), {_bounded(f'''select id, 'line ' || p || '|' || f as key from (select id, p, {_F} as f from l) where len(string_split(f, ' ')) >= 15''')}")
+def section_block_pairs(spark, sf_dir):
+    """B5."""
+    return blocking.section_pairs(lines(spark, sf_dir))
+
+
+@query(f"with l as ({_LINES}), {_bounded(f'''select id, 'line ' || p || '|' || f as key from (select id, p, {_F} as f from l) where len(string_split(f, ' ')) >= 5''')}")
+def short_section_pairs(spark, sf_dir):
+    """B12."""
+    return blocking.section_pairs(lines(spark, sf_dir), 5)
+
+
+@query(f"with {_shared(_grams(_W, 5), 3, 50)}")
+def ngram_candidate_pairs(spark, sf_dir):
+    """B6."""
+    return blocking.ngram_pairs(records(spark, sf_dir))
+
+
+@query(f"with {_shared(_grams(_TW, 3, 'len(w) >= 4'), 2, 50, True)} union select * from (with {_bounded(f'select doc_id as id, {_TF} as key from documents where len({_TW}) >= 4')})")
+def title_route_pairs(spark, sf_dir):
+    """B9."""
+    return blocking.title_pairs(records(spark, sf_dir))
+
+
+@query(f"with {_shared(_grams(_TW, 4), 2, 50)} union select * from (with {_bounded(f'select doc_id as id, {_TF} as key from documents where {_TF} <> {chr(39)}{chr(39)}')})")
+def short_title_pairs(spark, sf_dir):
+    """B10."""
+    return blocking.short_title_pairs(records(spark, sf_dir))
+
+
+@query(f"with {_shared(f'select doc_id as id, unnest({_TW}) as key from documents', 2, 3)}")
+def rare_title_pairs(spark, sf_dir):
+    """B11."""
+    return blocking.rare_title_pairs(records(spark, sf_dir))
+
+
+@query(f"with l as ({_LINES}), {_capped(f'select id, f as key from (select id, {_F} as f from l) where len(string_split(f, {chr(39)} {chr(39)})) >= 10', 10)}")
+def distinctive_sentence_pairs(spark, sf_dir):
+    """B13, V14, with lines for sentences."""
+    return blocking.sentence_pairs(lines(spark, sf_dir).select("id", F.col("text").alias("sentence")))
+
+
+@query(f"with {_capped('select o_custkey as id, o_orderpriority || o_orderdate::date::varchar as key from orders', 20)}")
+def signature_pairs(spark, sf_dir):
+    """B14, on customers with orders of one priority on one day."""
+    o = table(spark, sf_dir, "orders")
+    return blocking.signature_pairs(o.select(F.col("o_custkey").alias("id"), F.concat("o_orderpriority", F.to_date("o_orderdate").cast("string")).alias("key")))
+
+
+def _routes() -> str:
+    body = {
+        "body_candidate": [ORACLES[n] for n in ("prefix_block_pairs", "exact_original_pairs", "section_block_pairs", "ngram_candidate_pairs")],
+        "exact_masked_body": [ORACLES["exact_original_pairs"]], "exact_original_body": [ORACLES["exact_original_pairs"]], "title_template": [ORACLES["title_route_pairs"]],
+        "exact_masked_section": [f"with l as ({_LINES}), " + _bounded(f"select id, 'line ' || p || '|' || f as key from (select id, p, {_F} as f from l) where f <> ''")],
+    }
+    rows = " union ".join(f"select a, b, '{route}' as route from ({sql})" for route, sqls in body.items() for sql in sqls)
+    return f"select a, b, string_agg(route, '|' order by route) as routes from ({rows}) group by 1, 2"
+
+
+@query(_routes())
+def candidate_routes(spark, sf_dir):
+    """B7, B8."""
+    return blocking.routed_pairs(records(spark, sf_dir), lines(spark, sf_dir))
+
+
+@query(f"""with g as (select distinct * from ({_grams(_W, 30)})), n as (select key, min(id) as a from g group by 1 having count(*) > 1) select distinct n.a, g.id as b from g join n on n.key = g.key where g.id > n.a""")
+def shared_block30_pairs(spark, sf_dir):
+    """V5 as a join."""
+    return blocking.shared_block_pairs(records(spark, sf_dir))
+
+
+# Pairs
+
+
+@query(f"""with p as ({ORACLES['ngram_candidate_pairs']}), g as (select distinct * from ({_grams(_W, 5)})), n as (select id, count(*) as n from g group by 1)
+select p.a, p.b, round((select count(*) from g x join g y on x.key = y.key where x.id = p.a and y.id = p.b) / least(m.n, o.n), 6) as containment from p join n m on m.id = p.a join n o on o.id = p.b""")
+def ngram_containment(spark, sf_dir):
+    """V7 on B6's pairs."""
+    r = records(spark, sf_dir)
+    met = blocking.ngram_pairs(r).join(r.select(F.col("id").alias("a"), F.col("original").alias("x")), "a").join(r.select(F.col("id").alias("b"), F.col("original").alias("y")), "b")
+    return met.select("a", "b", F.round(similarity.containment(F.col("x"), F.col("y")), 6).alias("containment"))
+
+
+@query(f"""with p as ({ORACLES['ngram_candidate_pairs']}), c as (select id, w, count(*) as n from (select doc_id as id, unnest({_W}) as w from documents) group by 1, 2), t as (select id, sum(n) as n from c group by 1)
+select p.a, p.b, round(2 * sum(least(x.n, y.n)) / (max(m.n) + max(o.n)), 6) as bound from p join c x on x.id = p.a join c y on y.id = p.b and y.w = x.w join t m on m.id = p.a join t o on o.id = p.b group by 1, 2""")
+def token_overlap_bound(spark, sf_dir):
+    """V8 on B6's pairs."""
+    r = records(spark, sf_dir)
+    return blocking.overlap_bound(blocking.ngram_pairs(r), r).select("a", "b", F.round("bound", 6).alias("bound"))
+
+
+@query()
+def sequence_similarity(spark, sf_dir):
+    """V1, V5, V6 on the pairs that V8 lets through."""
+    r = records(spark, sf_dir).select("id", text.match_form(F.col("original")).alias("form"))
+    near = blocking.overlap_bound(blocking.ngram_pairs(records(spark, sf_dir)), records(spark, sf_dir)).where(F.col("bound") >= H.TEMPLATE_ORIGINAL)
+    met = near.join(r.select(F.col("id").alias("a"), F.col("form").alias("x")), "a").join(r.select(F.col("id").alias("b"), F.col("form").alias("y")), "b")
+    out = met.select("a", "b", similarity.mutual_similarity("x", "y").alias("similarity"), similarity.largest_block("x", "y").alias("block"), similarity.shared_coverage(F.col("x"), F.col("y"), F.lit(0)).alias("coverage"))
+    return out.select("a", "b", F.round("similarity", 6).alias("similarity"), "block", F.round("coverage", 6).alias("coverage"))
+
+
+@query()
+def exact_text_reuse(spark, sf_dir):
+    """X1 from sequence_similarity: match type, confidence, severity."""
+    r = records(spark, sf_dir).select("id", text.match_form(F.col("original")).alias("form"), "source")
+    s = lines(spark, sf_dir).select("id", text.match_form(F.col("text")).alias("s")).where(F.size(F.split("s", " ")) >= H.SENTENCE_WORDS).distinct()
+    df = s.groupBy("s").count().where(F.col("count").between(2, H.SENTENCE_DF)).select("s")
+    rare = s.join(df, "s")
+    common = rare.select(F.col("id").alias("a"), "s").join(rare.select(F.col("id").alias("b"), "s"), "s").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("sentences"))
+    met = sequence_similarity(spark, sf_dir).join(common, ["a", "b"], "left").join(r.select(F.col("id").alias("a"), F.col("form").alias("x"), F.col("source").alias("sx")), "a").join(r.select(F.col("id").alias("b"), F.col("form").alias("y"), F.col("source").alias("sy")), "b")
+    n = F.coalesce("sentences", F.lit(0))
+    kind = evidence.reuse_match_type({"same_text": F.col("x") == F.col("y"), "same_results": F.lit(False), "same_methods": F.lit(False), "sentences": n, "rare_words": F.lit(0), "rare_similarity": F.lit(0.0), "coverage": F.col("coverage")})
+    found = met.withColumn("match_type", kind).where("match_type is not null").withColumn("confidence", evidence.reuse_confidence(F.col("match_type"), n, F.col("coverage")))
+    relation = F.when(F.col("sx") == F.col("sy"), "possible").otherwise("none")
+    return found.select("a", "b", "match_type", "confidence", evidence.reuse_severity(F.col("confidence"), relation).alias("severity"), "coverage", n.alias("sentences"))
+
+
+@query()
+def entity_template(spark, sf_dir):
+    """Masked and original similarity of candidate pairs with their confidence."""
+    f = entities.features(records(spark, sf_dir).select("id", "title", F.col("original").alias("text")))
+    f = f.select("id", "original", F.lower("skeleton").alias("skeleton"), "entities")
+    slim = f.select("id", "skeleton", text.match_form(F.col("original")).alias("form"), F.size("entities").alias("n"))
+    near = blocking.overlap_bound(blocking.ngram_pairs(slim), slim, "skeleton").where(F.col("bound") >= H.MODERATE_MASKED)
+    met = near.join(slim.select(F.col("id").alias("a"), F.col("skeleton").alias("x"), F.col("form").alias("fx"), F.col("n").alias("nx")), "a").join(slim.select(F.col("id").alias("b"), F.col("skeleton").alias("y"), F.col("form").alias("fy"), F.col("n").alias("ny")), "b").where("fx <> fy")
+    out = met.withColumn("masked", similarity.mutual_similarity("x", "y")).withColumn("original", similarity.mutual_similarity("fx", "fy")).where((F.col("masked") >= H.TEMPLATE_MASKED) & (F.col("original") >= H.TEMPLATE_ORIGINAL))
+    return out.select("a", "b", F.round("masked", 6).alias("masked"), F.round("original", 6).alias("original"), evidence.template_confidence(F.col("masked"), F.col("original"), F.abs(F.col("nx") - F.col("ny")), F.lit(0.0)).alias("confidence"))
+
+
+# Evidence, from columns of the order tables
+
+
+def _pairs_of_items(spark, sf_dir) -> DataFrame:
+    x = table(spark, sf_dir, "lineitem")
+    q, p, d = F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey")
+    flags = {"exact_original_body": p % 11 == 0, "exact_results_section": p % 13 == 0, "substantial_shared_original_block": q >= 45, "strong_masked_body_with_original_support": d % 7 == 0, "masked_title_template_with_original_support": q % 5 == 0}
+    context = F.element_at(F.array(*[F.lit(c) for c in ("no_structured_context", "possible_related_study", "likely_same_study", "likely_companion_analysis")]), (p % 4 + 1).cast("int"))
+    return x.select(
+        F.col("l_orderkey").alias("a"), F.col("l_linenumber").alias("b"), evidence.labels(**flags).alias("direct"), (q % 3 == 0).alias("exact_title"), (q / 50).alias("title_similarity"), F.col("l_discount").alias("masked"),
+        (d % 3 == 0).alias("exact_methods"), F.when(p % 5 == 0, 0.2).otherwise(0.0).alias("section_score"), context.alias("interpretation"),
+    )
+
+
+_ITEMS = """i as (select l_orderkey as a, l_linenumber as b, l_quantity as q, l_partkey as p, l_suppkey as d, l_discount as m from lineitem),
+s as (select *, greatest(case when p % 11 = 0 or p % 13 = 0 then 1.0 else 0 end, case when q >= 45 then 0.85 else 0 end, case when d % 7 = 0 then 0.75 else 0 end, case when q % 5 = 0 then 0.65 else 0 end)::double as primary_score,
+ greatest(case when (q % 3 = 0 and q % 5 <> 0) or q / 50 >= 0.9 then 0.10 else 0 end, case when m >= 0.75 and d % 7 <> 0 then 0.15 else 0 end, case when d % 3 = 0 then 0.05 else 0 end, case when p % 5 = 0 then 0.2 else 0 end)::double as supporting_score from i),
+v as (select *, case when primary_score > 0 then least(1.0, primary_score + least(supporting_score, 0.25)) else 0 end::double as review_score, case p % 4 when 0 then 'no_structured_context' when 1 then 'possible_related_study' when 2 then 'likely_same_study' else 'likely_companion_analysis' end as c from s),
+k as (select *, case when primary_score = 0 then 'insufficient_evidence' when (p % 11 = 0 or p % 13 = 0) and c <> 'no_structured_context' then 'possible_related_duplicate' when c = 'likely_companion_analysis' then 'possible_companion_analysis' when c <> 'no_structured_context' then 'possible_related_work' else 'possible_template_reuse' end as pair_class from v),
+o as (select *, case when pair_class = 'insufficient_evidence' then 'None' when pair_class in ('possible_companion_analysis', 'possible_related_work') then 'Low' when review_score >= 0.85 then 'High' when review_score >= 0.75 then 'Medium' else 'Low' end as priority from k)"""
+
+
+@query(f"with {_ITEMS} select a, b, round(primary_score, 6) as primary_score, round(supporting_score, 6) as supporting_score, round(review_score, 6) as review_score, case when primary_score > 0 then 'primary' when supporting_score > 0 then 'supporting_only' else 'none' end as evidence_state from v")
+def pair_evidence(spark, sf_dir):
+    """C1, C2."""
+    out = evidence.tiered_score(_pairs_of_items(spark, sf_dir))
+    return out.select("a", "b", *[F.round(c, 6).alias(c) for c in ("primary_score", "supporting_score", "review_score")], "evidence_state")
+
+
+@query(f"with {_ITEMS} select a, b, pair_class, priority from o")
+def editorial_priority(spark, sf_dir):
+    """C4, C5, C7."""
+    return evidence.enriched(evidence.tiered_score(_pairs_of_items(spark, sf_dir))).select("a", "b", "pair_class", "priority")
+
+
+@query(f"with {_ITEMS} select a::bigint as a, b::bigint as b, pair_class, priority from o where priority <> 'None' union all select b, a, pair_class, priority from o where priority <> 'None'")
+def directional_pairs(spark, sf_dir):
+    """C8."""
+    rows = evidence.enriched(evidence.tiered_score(_pairs_of_items(spark, sf_dir))).withColumn("b", F.col("b").cast("long"))
+    return evidence.directional(rows.select("a", "b", "pair_class", "priority"))
+
+
+@query("""with v as (select o_orderkey as id, o_custkey as c, list_sort(list_distinct(['t' || (o_custkey % 50), 't' || (o_orderkey % 50)])) as e from orders where o_orderkey % 7 < 5)
+select x.id as a, y.id as b, array_to_string(list_sort(list_intersect(x.e, y.e)), ' | ') as shared_endpoint, case when list_sort(x.e) = list_sort(y.e) then 'same' when len(list_intersect(x.e, y.e)) > 0 then 'partial' else 'different' end as endpoint_overlap,
+case when len(list_intersect(x.e, y.e)) = len(x.e) and len(x.e) = len(y.e) then 'likely_same_study' else 'likely_companion_analysis' end as interpretation from v x join v y on x.c = y.c and x.id < y.id""")
+def study_context(spark, sf_dir):
+    """A customer's orders as studies of one registration."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 < 5)
+    tag = lambda c: F.concat(F.lit("t"), (F.col(c) % 50).cast("string"))
+    none = F.array().cast("array<string>")
+    v = o.select(F.col("o_orderkey").alias("id"), F.lit("").alias("text"), F.array(F.concat(F.lit("NCT"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))).alias("trial_id"), none.alias("registry"), none.alias("date"), none.alias("population"), F.array_distinct(F.array(tag("o_custkey"), tag("o_orderkey"))).alias("endpoint"), none.alias("drug"), none.alias("treatment_class"))
+    pairs = o.select("o_custkey", F.col("o_orderkey").alias("a")).join(o.select("o_custkey", F.col("o_orderkey").alias("b")), "o_custkey").where("a < b").select("a", "b")
+    return evidence.study_context(pairs, v).select("a", "b", "shared_endpoint", "endpoint_overlap", "interpretation")
+
+
+@query("""with v as (select o_custkey as id, list_sort(list(distinct o_orderpriority)) as l, list_sort(list(distinct o_orderstatus)) as r from orders group by 1),
+u as (select id, list_filter(l, lambda x: not list_contains(r, x)) as l, list_filter(r, lambda x: not list_contains(l, x)) as r from v)
+select id, array_to_string(list_transform(range(1, greatest(len(l), len(r)) + 1), lambda i: coalesce(l[i], 'none') || ' -> ' || coalesce(r[i], 'none')), '; ') as substitutions from u""")
+def substitution_lists(spark, sf_dir):
+    """C6, V11."""
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set("o_orderpriority").alias("l"), F.collect_set("o_orderstatus").alias("r"))
+    return o.select("id", F.array_join(evidence.substitutions(F.col("l"), F.col("r")), "; ").alias("substitutions"))
+
+
+@query("""with f as (select l_orderkey as a, l_orderkey + 1 + l_partkey % 3 as b, case l_linenumber % 2 when 0 then 'exact_text_reuse' else 'entity_normalized_template' end as t, ['low', 'medium', 'high', 'very_high'][1 + l_suppkey % 4] as c, l_suppkey % 4 as r, l_discount as s, 'm' || l_linenumber as m from lineitem),
+k as (select *, row_number() over (partition by a, b order by r desc, t, m) as n from f)
+select a, b, max(case when n = 1 then t end) as check_type, max(case when n = 1 then m end) as match_type, max(case when n = 1 then c end) as confidence, max(s) as score, string_agg(distinct t, ' | ' order by t) as check_types from k group by 1, 2""")
+def merged_findings(spark, sf_dir):
+    """X3."""
+    x = table(spark, sf_dir, "lineitem")
+    levels = F.array(*[F.lit(c) for c in H.CONFIDENCES])
+    f = x.select(F.col("l_orderkey").alias("a"), (F.col("l_orderkey") + 1 + F.col("l_partkey") % 3).alias("b"), F.when(F.col("l_linenumber") % 2 == 0, "exact_text_reuse").otherwise("entity_normalized_template").alias("check_type"), F.concat(F.lit("m"), F.col("l_linenumber").cast("string")).alias("match_type"), F.element_at(levels, (F.col("l_suppkey") % 4 + 1).cast("int")).alias("confidence"), F.col("l_discount").alias("score"), F.lit("Results").alias("sections"))
+    return evidence.merged_findings(f).drop("sections")
+
+
+# Graph
+
+
+_FAMILY = f"""g as (select doc_id as id, min(doc_id) over (partition by {_F}) as c from documents where {_F} <> ''), s as (select c, count(*) as size from g group by 1 having count(*) >= 3),
+n as (select c, size, row_number() over (order by size desc, ids) as n from (select s.c, s.size, list(g.id order by g.id) as ids from s join g on g.c = s.c group by all))"""
+
+
+@query(f"""with {_FAMILY} select printf('FAM-%04d', n) as family, g.id, size, g.c as representative, false as outlier from n join g on g.c = n.c""")
+def suspicious_families(spark, sf_dir):
+    """G1 on equal texts, tied as stars."""
+    pairs = blocking.equal_text_pairs(records(spark, sf_dir), "original", 1).select("a", "b", F.lit("possible_template_reuse").alias("pair_class"), F.lit(1.0).alias("score"))
+    return graph.families(pairs).select("family", "id", "size", "representative", "outlier")
+
+
+@query(f"""with {_FAMILY.replace('>= 3', '>= 2')} select printf('TPL-%04d', n) as cluster, g.id, size, g.c as medoid, true as verified, round(2 / size, 6) as density, 'high' as confidence from n join g on g.c = n.c""")
+def template_clusters(spark, sf_dir):
+    """G2 on the same stars."""
+    pairs = blocking.equal_text_pairs(records(spark, sf_dir), "original", 1).select("a", "b", F.lit("high").alias("confidence"), F.lit("exact_text_reuse").alias("check_types"))
+    return graph.clusters(pairs)
+
+
+@query(f"""with {_FAMILY} select printf('FAM-%04d', n) as family, size, string_agg(g.id::varchar, ' | ' order by g.id::varchar) as members from n join g on g.c = n.c group by 1, 2""")
+def family_rows(spark, sf_dir):
+    """G3."""
+    return graph.family_rows(suspicious_families(spark, sf_dir))
+
+
+# Rule detectors
+
+
+_SAID = ("As an AI language model, I cannot say.", "I am a language model.", "As of my last knowledge update, this holds.", "My knowledge cutoff is June.", "I cannot browse the internet.", "I cannot access patient-level data.", "I cannot provide medical advice.", "Certainly, here is the text.", "Here is the revised abstract:", "Below is the rewritten abstract.", "Sure, here's the text.", "Certainly! Below is it.", "Please let me know if you would like me to go on.", "The final answer is provided above.", "This response can be adapted to the requested form.", "I have revised the abstract.", "Rewrite the following abstract.", "Improve the grammar.", "Summarize the following.", "Do not mention limitations.", "Positive review only.", "Regenerate response", "Copy response", "New chat", "It is important to note that", "User: hello", "### Background", "---")
+
+
+@query(f"""with l as (select * from (values {', '.join(f"({i}, 'LLM-{i + 1:03d}', '{r[1]}', '{r[2]}', '{r[3]}')" for i, r in enumerate(P.TRACE_RULES))}) as l(k, rule_id, category, signal_level, severity))
+select doc_id as id, rule_id, category, signal_level, severity from documents join l on l.k = doc_id % 28""")
+def llm_trace_hits(spark, sf_dir):
+    """A text with a sentence of assistants put before it on a line of its own."""
+    said = F.element_at(F.array(*[F.lit(s) for s in _SAID]), (F.col("doc_id") % 28 + 1).cast("int"))
+    blocks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("Abstract").alias("section"), F.concat(said, F.lit("\n"), F.regexp_replace("text", "[#:`-]", " ")).alias("text"))
+    return rules.trace_hits(blocks).select("id", "rule_id", "category", "signal_level", "severity")
+
+
+@query(f"""with l as (select * from (values {', '.join(f"({i}, {str(r[4]).lower()}, '{r[2]}')" for i, r in enumerate(P.TRACE_RULES))}) as l(k, e, lv))
+select doc_id as id, case when e and lv = 'strong' then 'High' when e and lv = 'contextual' then 'Medium' else 'None' end as priority, 1::bigint as n_hits from documents join l on l.k = doc_id % 28""")
+def llm_trace_priority(spark, sf_dir):
+    """L4."""
+    said = F.element_at(F.array(*[F.lit(s) for s in _SAID]), (F.col("doc_id") % 28 + 1).cast("int"))
+    blocks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(said, F.lit("\n"), F.regexp_replace("text", "[#:`-]", " ")).alias("text"))
+    return rules.trace_priority(rules.trace_hits(blocks))
+
+
+@query(f"""with b as (select item_id, {WORDS.format(x='text')} as w from benchmark), r as (select distinct w[1] || ' ' || w[2] as q from b where len(w) > 2),
+d as (select distinct doc_id as id, w[i] || ' ' || w[i+1] as q from (select doc_id, w, unnest(range(1, len(w))) as i from (select doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')), ' '), lambda t: t <> '') as w from documents)))
+select d.id, d.q as phrase from d join r on r.q = d.q""")
+def tortured_phrase_hits(spark, sf_dir):
+    """Leading word pairs of ``benchmark`` as the dictionary, over texts in match form."""
+    b = table(spark, sf_dir, "benchmark").select(text.tokens(F.col("text")).alias("w")).where(F.size("w") > 2).select(F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("p")).distinct()
+    dictionary = b.select(rule_id(F.col("p"), F.lit("")).alias("rule_id"), F.concat(F.lit('"'), "p", F.lit('"')).alias("query"), "p")
+    fields = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("abstract").alias("field"), text.match_form(F.col("text")).alias("text"))
+    return phrases.phrase_hits(fields, dictionary).join(dictionary.select("rule_id", F.col("p").alias("phrase")), "rule_id").select("id", "phrase")
+
+
+def _claims(spark, sf_dir) -> DataFrame:
+    """Sentences from line items: counts n of m with a percentage that is off for some, medians and intervals."""
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").cast("int").alias("q"), (F.col("l_partkey") % 90 + 10).cast("int").alias("m"), (F.col("l_suppkey") % 4).alias("k"))
+    n = F.least("q", "m")
+    fair = F.round(n * 100 / F.col("m"), 1)
+    shown = F.format_string("%.1f", F.when(F.col("q") % 4 == 0, fair + 5).otherwise(fair))
+    s = (
+        F.when(F.col("k") == 0, F.concat(F.lit("Responses occurred in "), n.cast("string"), F.lit(" of "), F.col("m").cast("string"), F.lit(" patients ("), shown, F.lit("%).")))
+        .when(F.col("k") == 1, F.concat(F.lit("There were "), F.col("q").cast("string"), F.lit(" deaths among "), F.col("m").cast("string"), F.lit(" patients.")))
+        .when(F.col("k") == 2, F.concat(F.lit("Median age was "), F.col("q").cast("string"), F.lit(" years, range 20-"), F.greatest(F.lit(30), F.col("m")).cast("string"), F.lit(" years.")))
+        .otherwise(F.concat(F.lit("The interval (95% CI "), F.col("q").cast("string"), F.lit("-"), F.col("m").cast("string"), F.lit(") was wide.")))
+    )
+    return x.select("id", "seq", s.alias("sentence"), "q", "m", "k")
+
+
+_CL = "x as (select l_orderkey as id, l_linenumber as seq, l_quantity::int as q, (l_partkey % 90 + 10)::int as m, l_suppkey % 4 as k from lineitem)"
+
+
+@query(f"""with {_CL}, y as (select *, least(q, m) as n, round(least(q, m) * 100 / m, 1) + case when q % 4 = 0 then 5 else 0 end as pc from x),
+f as (select id, k, q, m, case when k = 0 and pc <= 100 and abs(pc - n / m * 100) > 1 then 'count_percentage_mismatch' when k = 1 and q > m then 'numerator_exceeds_denominator' when k = 2 and not q between 20 and greatest(30, m) then 'median_outside_range' when k = 3 and q > m then 'reversed_interval' end as contradiction from y)
+select distinct id, contradiction, q, m from f where contradiction is not null
+union all select distinct id, 'impossible_percentage', q, m from y where k = 0 and pc > 100""")
+def numeric_contradictions(spark, sf_dir):
+    """What the sentences contradict, with the numbers they were made of."""
+    made = _claims(spark, sf_dir)
+    found = rules.numeric_contradictions(rules.numeric_claims(made.select("id", "seq", "sentence")))
+    return found.join(made.select("id", "sentence", "q", "m").distinct(), ["id", "sentence"]).select("id", "contradiction", "q", "m").distinct()
+
+
+@query("""with x as (select o_custkey as id, row_number() over (partition by o_custkey order by o_orderkey) as seq, case when o_orderkey % 3 = 0 then (o_orderkey % 400 + 100)::double end as total from orders)
+select id, seq, last_value(total ignore nulls) over (partition by id order by seq rows between unbounded preceding and 1 preceding) as carried from x""")
+def carried_denominator(spark, sf_dir):
+    """D3: the last total of people told before."""
+    from pyspark.sql import Window
+
+    o = table(spark, sf_dir, "orders").withColumn("seq", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long"))
+    told = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("A total of "), (F.col("o_orderkey") % 400 + 100).cast("string"), F.lit(" patients were enrolled. 1%"))).otherwise(F.lit("They did well. 1%"))
+    claims = rules.numeric_claims(o.select(F.col("o_custkey").alias("id"), "seq", told.alias("sentence")))
+    return claims.select("id", "seq", "carried").distinct()
+
+
+_SAY = (("prospective study", "time_direction", "prospective"), ("retrospective analysis", "time_direction", "retrospective"), ("open-label", "masking", "open_label"), ("double-blind", "masking", "double_blind"), ("single-arm", "arm_structure", "single_arm"), ("placebo arm", "control_type", "placebo"))
+
+
+@query(f"""with v as (select * from (values {', '.join(f"({i}, '{a}', '{v}')" for i, (_, a, v) in enumerate(_SAY))}) as v(k, attribute, value)), c as (select distinct l_orderkey as id, attribute, value from lineitem join v on v.k = l_partkey % 6),
+r as (select * from (values {', '.join(str(r) for r in P.DESIGN_RULES)}) as r(la, lv, ra, rv, contradiction, severity))
+select distinct x.id, contradiction, severity from c x join r on r.la = x.attribute and r.lv = x.value join c y on y.id = x.id and y.attribute = r.ra and y.value = r.rv""")
+def design_contradictions(spark, sf_dir):
+    """An order's items name its design."""
+    said = F.element_at(F.array(*[F.lit(f"This was {s} work.") for s, _, _ in _SAY]), (F.col("l_partkey") % 6 + 1).cast("int"))
+    s = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("seq"), F.lit("Methods").alias("section"), said.alias("sentence"))
+    return rules.design_contradictions(rules.design_claims(s)).select("id", "contradiction", "severity")
+
+
+@query("""with x as (select o_orderkey as id, o_orderstatus as s, o_custkey % 5 as k, case when o_custkey % 5 = 1 then 'NCT' || (1000 + o_orderkey % 9000) when o_custkey % 5 = 2 then 'ISRCTN' || lpad((o_orderkey % 90000000)::varchar, 8, '0') else 'NCT' || lpad((o_orderkey % 90000000)::varchar, 8, '0') end as t from orders)
+select id, case when k in (3, 4) then '' else t end as trial_id, case k when 0 then case s when 'F' then 'verified' when 'O' then 'not_found' else 'lookup_failed' end when 1 then 'invalid_format' when 2 then 'unsupported_registry' when 3 then 'registration_claim_without_id' else 'placeholder_id' end as status,
+(case k when 0 then s = 'O' else true end) as triggered from x""")
+def trial_reference_status(spark, sf_dir):
+    """Numbers from order keys, a cache from order states."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_custkey") % 5
+    eight = F.lpad((F.col("o_orderkey") % 90000000).cast("string"), 8, "0")
+    s = (
+        F.when(k == 0, F.concat(F.lit("Registration: NCT"), eight, F.lit("."))).when(k == 1, F.concat(F.lit("Registration: NCT"), (1000 + F.col("o_orderkey") % 9000).cast("string"), F.lit(".")))
+        .when(k == 2, F.concat(F.lit("Registration: ISRCTN"), eight, F.lit("."))).when(k == 3, "Registered at ClinicalTrials.gov.").otherwise("Trial registration number is pending.")
+    )
+    claims = rules.trial_claims(o.select(F.col("o_orderkey").alias("id"), F.lit("Abstract").alias("section"), s.alias("sentence")))
+    cache = o.where(k == 0).select(F.concat(F.lit("NCT"), eight).alias("trial_id"), F.when(F.col("o_orderstatus") == "F", "verified").when(F.col("o_orderstatus") == "O", "not_found").alias("status")).where("status is not null")
+    return rules.trial_findings(claims, cache).select("id", "trial_id", "status", "triggered")
+
+
+_REP = """select doc_id as id, p as seq, s from (select doc_id, unnest(range(0, len(l))) as p, unnest(l) as s from (select doc_id, string_split(text, chr(10)) as l from documents))"""
+
+
+@query()
+def repeated_word_candidates(spark, sf_dir):
+    """D8 on lines."""
+    s = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n")).alias("seq", "sentence"))
+    return rules.nonsense_candidates(s).select("id", "seq", "route")
+
+
+# Roll-up and reports
+
+
+def _findings(spark, sf_dir) -> DataFrame:
+    kinds = F.array(*[F.lit(x) for x in ("numerical", "design", "trial", "known_pattern", "tortured_phrase")])
+    states = F.array(*[F.lit(x) for x in ("", "confirmed", "pending", "rejected", "Candidate ", "not_required")])
+    return table(spark, sf_dir, "lineitem").where("l_quantity < 12").select(F.col("l_orderkey").alias("id"), F.element_at(kinds, (F.col("l_partkey") % 5 + 1).cast("int")).alias("check_type"), F.lit("x").alias("finding_type"), F.element_at(F.array(*[F.lit(s) for s in H.SEVERITIES[1:]]), (F.col("l_suppkey") % 3 + 1).cast("int")).alias("severity"), F.element_at(states, (F.col("l_quantity") % 6 + 1).cast("int")).alias("status"))
+
+
+_ROLL = """f as (select l_orderkey as id, l_partkey % 5 as k, l_suppkey % 3 + 1 as s, l_quantity % 6 as st from lineitem where l_quantity < 12),
+p as (select id, count_if(st in (0, 1, 5)) as n_active, count_if(st in (2, 4)) as n_review, count(distinct case when st in (0, 1, 5) then k end) as n_types, max(case when st in (0, 1, 5) then s end) as worst from f group by 1),
+q as (select o_orderkey as id, o_custkey % 20 = 0 as t from orders),
+r as (select q.id, coalesce(n_active, 0) as n_active, coalesce(n_review, 0) as n_review, coalesce(n_types, 0) as n_types, ['none', 'low', 'medium', 'high'][coalesce(worst, 0) + 1] as worst_severity, coalesce(worst, 0) as w, t as in_template from q left join p on p.id = q.id),
+z as (select *, case when n_active = 0 and not in_template then 'None' when n_types >= 2 or w = 3 then 'High' when w = 2 then 'Medium' when w = 1 then case when n_active > 1 then 'Medium' else 'Low' end when in_template then 'Medium' else 'None' end as risk from r)"""
+
+
+def _rolled(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    pairs = o.where("o_custkey % 20 = 0").select(F.col("o_orderkey").alias("a"), F.lit(-1).cast("long").alias("b"), F.lit("High").alias("priority"), F.lit("possible_template_reuse").alias("pair_class"), F.lit(1.0).alias("review_score"))
+    return risk.roll_up(o.select(F.col("o_orderkey").alias("id")), _findings(spark, sf_dir), pairs)
+
+
+@query(f"with {_ROLL} select id, n_active, n_review, n_types, worst_severity, in_template, risk from z")
+def record_rollup(spark, sf_dir):
+    """A2, A3."""
+    return _rolled(spark, sf_dir).select("id", "n_active", "n_review", "n_types", "worst_severity", "in_template", "risk")
+
+
+@query(f"with {_ROLL} select risk, row_number() over (partition by risk order by w desc, n_active desc, id)::int as place, id, worst_severity, n_active from z where risk <> 'None'")
+def risk_queue(spark, sf_dir):
+    """A8."""
+    return risk.risk_queue(_rolled(spark, sf_dir))
+
+
+@query(f"with {_ROLL} select risk, count(*) as records, sum(n_active)::bigint as findings, count_if(in_template) as in_template from z group by 1")
+def dashboard_counts(spark, sf_dir):
+    """A9."""
+    return risk.dashboard(_rolled(spark, sf_dir))
+
+
+@query("""with c as (select 'd' || o_custkey as key, max(case o_orderpriority when '1-URGENT' then 2 when '2-HIGH' then 2 when '3-MEDIUM' then 1 else 0 end) as w from orders where o_custkey % 3 = 0 group by 1)
+select c_custkey as id, case w when 2 then 'high' when 1 then 'medium' else 'none' end as authorship from customer left join c on c.key = 'd' || c_custkey""")
+def authorship_join(spark, sf_dir):
+    """A4."""
+    level = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "HIGH").when(F.col("o_orderpriority") == "3-MEDIUM", "Medium").otherwise("LOW")
+    checks = table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").select(F.concat(F.lit("https://doi.org/D"), F.col("o_custkey").cast("string")).alias("key"), level.alias("level"))
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("doi:d"), F.col("c_custkey").cast("string")).alias("doi"))
+    return risk.authorship_signal(people, checks)
+
+
+# Evaluation
+
+
+@query("""with g as (select doc_id as a, doc_id + 1 as b, case when quality = 1 then 'positive' else 'negative' end as v, toxic from labels), s as (select count_if(v = 'positive' and toxic = 1) as tp, count_if(v = 'negative' and toxic = 1) as fp, count_if(v = 'positive' and toxic = 0) as fn, count_if(v = 'negative' and toxic = 0) as tn from g)
+select tp, fp, fn, tn, round(tp / (tp + fp), 6) as precision, round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1 from s""")
+def pair_metrics(spark, sf_dir):
+    """Labels as gold pairs, the toxic ones as predictions."""
+    x = table(spark, sf_dir, "labels").withColumns({"a": F.col("doc_id"), "b": F.col("doc_id") + 1})
+    return evaluate.pair_metrics(x.select("a", "b", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("verdict")), x.where("toxic = 1").select("b", "a"))
+
+
+@query("""with g as (select distinct l_orderkey as id, l_linenumber as start, l_returnflag as type from lineitem where l_quantity <= 40), p as (select distinct l_orderkey as id, l_linenumber as start, l_returnflag as type from lineitem where l_quantity > 10),
+j as (select coalesce(g.type, p.type) as type, g.id is not null as g, p.id is not null as p from g full join p on g.id = p.id and g.start = p.start and g.type = p.type),
+s as (select coalesce(type, 'all') as type, count_if(g and p) as tp, count_if(not g) as fp, count_if(not p) as fn from j group by rollup (type))
+select *, round(tp / (tp + fp), 6) as precision, round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1 from s""")
+def entity_metrics(spark, sf_dir):
+    """E8."""
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("start"), F.col("l_linenumber").alias("stop"), F.col("l_returnflag").alias("type"), "l_quantity")
+    return evaluate.entity_metrics(x.where("l_quantity <= 40"), x.where("l_quantity > 10"))
+
+
+@query("""with p as (select distinct case l_returnflag when 'A' then 'x' when 'N' then 'y' else 'z' end as signal, l_orderkey as a, l_orderkey + l_linenumber as b from lineitem where l_quantity < 9), k as (select distinct l_orderkey as a, l_orderkey + l_linenumber as b from lineitem where l_discount < 0.05),
+g as (select distinct l_orderkey as a, l_orderkey + l_linenumber as b, case when l_tax < 0.03 then 'positive' else 'negative' end as v from lineitem where l_suppkey % 2 = 0), j as (select p.*, v, k.a is null as new from p left join g using (a, b) left join k using (a, b)),
+s as (select signal, count(*) as pairs, count_if(v = 'positive') as gold_positive, count_if(v = 'negative') as gold_negative, count_if(new) as incremental, count_if(new and v = 'positive') as incremental_positive, count_if(new and v = 'negative') as incremental_negative from j group by 1)
+select *, case when incremental_positive = 0 then 'disabled' when incremental_negative >= incremental_positive then 'rejected' else 'candidate' end as recommendation from s""")
+def signal_incremental(spark, sf_dir):
+    """A15."""
+    x = table(spark, sf_dir, "lineitem").withColumns({"a": F.col("l_orderkey"), "b": F.col("l_orderkey") + F.col("l_linenumber")})
+    name = F.when(F.col("l_returnflag") == "A", "x").when(F.col("l_returnflag") == "N", "y").otherwise("z")
+    gold = x.where("l_suppkey % 2 = 0").select("a", "b", F.when(F.col("l_tax") < 0.03, "positive").otherwise("negative").alias("verdict")).distinct()
+    return evaluate.signal_validation(x.where("l_quantity < 9").select(name.alias("signal"), "a", "b"), x.where("l_discount < 0.05"), gold)
+
+
+@query("""with e as (select distinct doc_id as id, 'q' || quality as label from labels), p as (select distinct doc_id as id, case when toxic = 1 then 'q0' else 'q1' end as label from labels)
+select id, label, 'missed' as error from (from e except from p) union all select id, label, 'unexpected' from (from p except from e)""")
+def corpus_mismatches(spark, sf_dir):
+    """A14."""
+    x = table(spark, sf_dir, "labels")
+    return evaluate.corpus_mismatches(x.select(F.col("doc_id").alias("id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label")), x.select(F.col("doc_id").alias("id"), F.when(F.col("toxic") == 1, "q0").otherwise("q1").alias("label")))
+
+
+# Sources
+
+
+@query()
+def page_text(spark, sf_dir):
+    """S7 for web pages."""
+    return table(spark, sf_dir, "pages").select("page_id", markup.page_text(F.col("html")).alias("text"))
+
+
+@query("""select conv_id as id, turn as seq, coalesce(sum(length(text) + 2) over w, 0)::bigint as start, (coalesce(sum(length(text) + 2) over w, 0) + length(text))::bigint as stop from conversations window w as (partition by conv_id order by turn rows between unbounded preceding and 1 preceding)""")
+def block_offsets(spark, sf_dir):
+    """Turns of a conversation as blocks."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id"), F.col("turn").alias("seq"), "text")
+    return markup.block_offsets(c).select("id", "seq", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
+
+
+@query()
+def entity_extraction(spark, sf_dir):
+    """Entities of every text by type, and whether masking is sound."""
+    x = table(spark, sf_dir, "documents").select("doc_id", "text", entities.extract("text").alias("e"))
+    kinds = F.array_join(F.transform("e.entities", lambda e: e["type"]), " | ")
+    return x.select("doc_id", F.size("e.entities").cast("long").alias("n"), kinds.alias("types"), entities.mask_errors(F.col("text"), F.col("e.entities")).alias("error"))

@@ -39,3 +39,10 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1000 texts and 8 MB at most, where the session has Spark's own defaults: whole texts can be long."""
+    for name, usual, wanted in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", usual) == usual:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", wanted)
