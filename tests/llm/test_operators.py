@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillsift.scratch import staged
 from quillsift.llm import bwt, chat, components, jaccard, lines, merkle, mixing, packing, quality, suffix, tokens, toxicity
 from tests.llm.helpers import SCHEMA, corpus, frame, words
 
@@ -104,7 +105,7 @@ def test_quality_keeps_usual_and_drops_odd(spark):
 
 
 def test_sketches_merge(docs):
-    counts = quality.signals(docs)
+    counts = staged(quality.signals(docs), "counts")
     whole = {tuple(r)[:4]: r["n"] for r in quality.sketches(counts).collect()}
     parts = Counter()
     for half in (counts.where("doc_id % 2 = 0"), counts.where("doc_id % 2 = 1 or doc_id is null")):
@@ -324,7 +325,7 @@ def test_fingerprints_of_edits(spark, docs):
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["fingerprint"] == merkle.fingerprint(text) and r["edited_fingerprint"] == merkle.fingerprint(edited)
         assert r["near_next"] == merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(after))
-        if k > 50 and text != after:
+        if k > 50 and r["near_next"] < 0.5:  # else the next text is a copy itself
             assert r["near_edited"] > r["near_next"]
     assert by[0]["fingerprint"] == by[1]["fingerprint"] != by[2]["fingerprint"]
 
