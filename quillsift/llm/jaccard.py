@@ -37,11 +37,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsift.llm.components import components
-from quillsift.scratch import staged
+from quillsift.scratch import small_batches, staged
 
 GROWTH, SLACK = 1.5, 0.1
 _U = np.uint64
-_KNOWN = 400_000
+_KNOWN = 150_000
 
 
 class _Hashes(dict):
@@ -135,18 +135,23 @@ def schemes_of(size: int, schemes: list[Scheme], percent: int) -> list[Scheme]:
     return schemes[own : own + 1 + more]
 
 
-def signatures(h: np.ndarray, scheme: Scheme, percent: int) -> tuple[np.ndarray, int]:
-    """Signatures of one set: those of one-deletion segments, then the exact ones; and how many the first are."""
-    size, units = len(h), 2 * scheme.two + scheme.one
+def segments(h: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, ...]:
+    """Of one set: each segment's signature and size; and for its shingles their hash, segment, the segment's sum and salt."""
+    units, n = 2 * scheme.two + scheme.one, scheme.two + scheme.one
     unit = ((h >> _U(32)) * _U(units)) >> _U(32)
     seg = np.where(unit < 2 * scheme.two, unit >> _U(1), unit - _U(scheme.two)).astype(np.int64)
     value = _mix(h * _U(0xD6E8FEB86659FD93) + _U(scheme.index))
-    n = scheme.two + scheme.one
-    ends = np.searchsorted(seg, np.arange(n), side="right")
+    ends = np.concatenate(([0], np.searchsorted(seg, np.arange(n), side="right")))
     sums = np.concatenate((np.zeros(1, _U), np.cumsum(value, dtype=_U)))
-    total, count = np.diff(sums[np.concatenate(([0], ends))]), np.diff(np.concatenate(([0], ends)))
+    total = np.diff(sums[ends])
     salt = _mix((np.arange(n, dtype=_U) + _U(1)) * _U(0x2545F4914F6CDD1D) + _U(scheme.index << 40))
-    whole = _mix(total + salt)
+    return _mix(total + salt), np.diff(ends), value, seg, total, salt
+
+
+def signatures(h: np.ndarray, scheme: Scheme, percent: int) -> tuple[np.ndarray, int]:
+    """Signatures of one set: those of one-deletion segments, then the exact ones; and how many the first are."""
+    size = len(h)
+    whole, count, value, seg, total, salt = segments(h, scheme)
     first = np.zeros(0, _U)
     if scheme.two:
         inside = seg < scheme.two
@@ -196,6 +201,22 @@ def _sign(n: int, schemes: list[Scheme], percent: int):
     return run
 
 
+def _vectors(n: int, schemes: list[Scheme], percent: int):
+    """id, scheme, and 32 bits of each segment's signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for doc_id, t in zip(b["id"].to_pylist(), b["text"], strict=True):
+                h = hashed(words_of(t.as_py()), n)
+                out += [(doc_id, s.index, (segments(h, s)[0] & _U(0x7FFFFFFF)).astype(np.int32)) for s in (schemes_of(len(h), schemes, percent) if len(h) else ())]
+            if out:
+                ids, bands_, vectors = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bands_, pa.int64()), pa.array(vectors, pa.list_(pa.int32()))], names=["id", "band", "vec"])
+
+    return run
+
+
 def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, set()
@@ -219,8 +240,16 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return pairs.join(right, "b").join(left, "a").sortWithinPartitions("a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(n, percent), "a bigint, b bigint")
 
 
+def _mixed(places: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the places that hold several components, with the least component there."""
+    named = places.join(labels, "id", "left").select("sig", "id", "size", "band", "center", F.coalesce("component", "id").alias("comp"))
+    inside = Window.partitionBy("sig")
+    return named.withColumn("lo", F.min("comp").over(inside)).withColumn("hi", F.max("comp").over(inside)).where("lo <> hi").drop("hi")
+
+
 def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     census = staged(slim.mapInArrow(_census(n), "doc_id bigint, n_shingles bigint, key binary"), "jaccard-census")
     known = census.where("doc_id is not null and key is not null")
@@ -245,8 +274,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     kept = exact.select("sig", "id", "tag").unionByName(met.where("tag % 2 = 0").select("sig", "id", "tag"))
     size = F.expr("tag div 256").alias("size")
     first = F.min(F.struct("id", size)).over(Window.partitionBy("sig"))
-    places = kept.select("sig", "id", size, first.alias("c"), F.count(F.lit(1)).over(Window.partitionBy("sig")).alias("f")).where("f > 1")
-    places = staged(places.select("sig", "id", "size", F.col("c.id").alias("center"), F.col("c.size").alias("center_size")), "jaccard-places")
+    band = F.expr("(tag & 255) div 2").alias("band")
+    places = kept.select("sig", "id", size, band, first.alias("c"), F.count(F.lit(1)).over(Window.partitionBy("sig")).alias("f")).where("f > 1")
+    places = staged(places.select("sig", "id", "size", "band", F.col("c.id").alias("center"), F.col("c.size").alias("center_size")), "jaccard-places")
     near = f"100 * least(size, center_size) >= {percent} * greatest(size, center_size)"
     pairs = places.where(f"id <> center and {near}").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     wanted = places.select(F.col("id").alias("doc_id")).distinct()
@@ -254,13 +284,29 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     sure = staged(linked(pairs, texts, n, percent), "jaccard-links")
     labels = staged(components(sure), "jaccard-labels")
 
-    named = places.join(labels, "id", "left").select("sig", "id", "size", "center", F.coalesce("component", "id").alias("comp"))
+    mixed = staged(_mixed(places, labels), "jaccard-mixed")
+    # linked sets differ in no more segments than in shingles: told from their vectors before texts are read
+    vectors = texts.join(mixed.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_vectors(n, schemes, percent), "id bigint, band bigint, vec array<int>")
+    vectors = staged(vectors, "jaccard-vectors")
+    near = (
+        f"100 * least(u.size, v.size) >= {percent} * greatest(u.size, v.size)"
+        f" and size(filter(zip_with(u.vec, v.vec, (x, y) -> x = y), e -> e)) >= size(u.vec) - (u.size + v.size) * {100 - percent} div {100 + percent}"
+    )
+    pair = [F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")]
+    # first each set meets one member of another component, drawn anew in each place
+    row = F.struct(F.xxhash64("id", "sig").alias("h"), "id", "comp", "size", "vec")
     inside = Window.partitionBy("sig")
-    mixed = named.withColumn("lo", F.min("comp").over(inside)).withColumn("hi", F.max("comp").over(inside)).where("lo <> hi").drop("hi")
-    mixed = staged(mixed, "jaccard-mixed")
-    few, all_ = mixed.where("comp <> lo and id <> center").alias("u"), mixed.where("id <> center").alias("v")
-    apart = F.expr(f"u.comp <> v.comp and (v.comp = v.lo or u.id < v.id) and 100 * least(u.size, v.size) >= {percent} * greatest(u.size, v.size)")
-    more = few.join(all_, (F.col("u.sig") == F.col("v.sig")) & apart).select(F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")).distinct()
+    drawn = mixed.join(vectors, ["id", "band"]).withColumns({"first": F.min(row).over(inside), "last": F.max(row).over(inside), "u": row}).where("comp <> lo")
+    drawn = drawn.select("u", F.expr("case when first.comp <> comp then first when last.comp <> comp then last end as v")).where(f"v is not null and {near}")
+    some = staged(linked(drawn.select(*pair).distinct(), texts, n, percent), "jaccard-some")
+    sure = sure.unionByName(some)
+    if some.head(1):
+        labels = staged(components(sure), "jaccard-labels")
+        mixed = staged(_mixed(places, labels), "jaccard-mixed")
+    # then what is still apart meets all others
+    mixed = mixed.where("id <> center").join(vectors, ["id", "band"])
+    apart = F.expr(f"u.comp <> v.comp and (v.comp = v.lo or u.id < v.id) and {near}")
+    more = mixed.where("comp <> lo").alias("u").join(mixed.alias("v"), (F.col("u.sig") == F.col("v.sig")) & apart).select(*pair).distinct()
     extra = staged(linked(more, texts, n, percent), "jaccard-more")
     final = components(sure.unionByName(extra)) if extra.head(1) else labels
 
