@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.scratch import small_batches
+
 _SECTION = 4
 _PIECE = 8
 _LONGEST = 128
@@ -110,6 +112,7 @@ def _range(key: Column, bounds: list[int], lo: int, hi: int) -> Column:
 
 def with_next(docs: DataFrame) -> DataFrame:
     """bucket, extra, doc_id, text: ranges in order, each followed by the first document of the next range."""
+    small_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     q = slim.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] or []

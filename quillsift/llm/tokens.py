@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillsift.scratch import fresh_path, staged
+from quillsift.scratch import fresh_path, small_batches, staged
 
 END = 0
 #: Documents that the dictionary is trained on, and its bytes.
@@ -49,7 +49,7 @@ _UNSAFE = re.compile("[^\t\n\r -~ -įı-ɏ]|<\\|")
 _BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Entries of a generation of remembered ids.
-_CACHED = 500_000
+_CACHED = 400_000
 #: Two spaces of any kind in a row, one of them U+0020: only then do pre-tokens depend on what is before a space.
 _SPACED = ("  ", *(x for c in "\t\n\r\xa0" for x in (" " + c, c + " ")))
 
@@ -241,6 +241,7 @@ def sample_dictionary(docs: DataFrame, path: str, width: int, rows: int = SAMPLE
 def write_tokens(docs: DataFrame, folder: str, path: str, width: int = 2, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Writes the files; returns shard, pid, seq, n_docs, n_tokens of each, in ascending doc_id order by (pid, seq)."""
     spark = docs.sparkSession
+    small_batches(spark)
     dictionary = sample_dictionary(docs, path, width)
     put(folder, f"dictionary-{dict_hash(dictionary).hex()}.zdict", dictionary)
     shared = spark.sparkContext.broadcast(dictionary)  # DICT_BYTES at most

@@ -27,8 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.scratch import small_batches
+
 #: The bound on labelled rows that the fit reads.
-MAX_ROWS = 6000
+MAX_ROWS = 4000
 DIM = 1 << 18
 GRADES = 3
 #: Documents whose expected grade reaches this are toxic.
@@ -36,7 +38,7 @@ CUT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-@lru_cache(maxsize=400_000)
+@lru_cache(maxsize=100_000)
 def bucket(word: str) -> int:
     return xxhash.xxh64_intdigest(word) % DIM
 
@@ -94,17 +96,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, rounds: in
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         got = [features(x.as_py()) for x in b["text"]]
-        yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array([i for i, _ in got], pa.list_(pa.int64())), pa.array([v for _, v in got], pa.list_(pa.float64()))], names=["doc_id", "toxic", "ids", "vals"])
+        yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array([i.astype(np.int32).tobytes() for i, _ in got], pa.binary()), pa.array([v.astype(np.float32).tobytes() for _, v in got], pa.binary())], names=["doc_id", "toxic", "ids", "vals"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Ordinal:
     """A model from at most ``max_rows`` rows of ``labels`` (doc_id, toxic)."""
+    small_batches(docs.sparkSession)
     some = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # at most max_rows rows of two numbers: small for any input
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "toxic", "text").mapInArrow(_featurize, "doc_id bigint, toxic bigint, ids array<bigint>, vals array<double>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["ids"]))
-    return fit([(np.array(r["ids"], np.int64), np.array(r["vals"])) for r in rows], np.array([min(1, r["toxic"]) for r in rows], float))
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "toxic", "text").mapInArrow(_featurize, "doc_id bigint, toxic bigint, ids binary, vals binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["ids"])))
+    return fit([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32)) for r in rows], np.array([min(1, r["toxic"]) for r in rows], float))
 
 
 def score(docs: DataFrame, model: Ordinal, cut: float = CUT, keep_toxic: bool = True) -> DataFrame:
