@@ -118,18 +118,26 @@ def _masked_sql(x: str) -> str:
     return f"trim(regexp_replace({out}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
 
 
-@query(f"select doc_id, {_masked_sql('text')} as masked from documents")
+# RE2 knows word boundaries of ASCII only: these queries take texts whose other characters are written as _
+_PLAIN = "regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')"
+
+
+def plain(column):
+    return F.regexp_replace(column, "[^\\x00-\\x7F]", "_")
+
+
+@query(f"select doc_id, {_masked_sql(_PLAIN)} as masked from documents")
 def mask_variables(spark, sf_dir):
     """T13."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.mask(F.col("text")).alias("masked"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.mask(plain("text")).alias("masked"))
 
 
-@query(f"""with m as (select doc_id, regexp_extract_all({_masked_sql('text')}, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from documents),
+@query(f"""with m as (select doc_id, regexp_extract_all({_masked_sql(_PLAIN)}, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from documents),
 c as (select doc_id, k, count(*) // 5 as n from (select doc_id, unnest(p) as k from m) group by 1, 2)
 select m.doc_id, coalesce((select string_agg(k || n::varchar, ':' order by k) from c where c.doc_id = m.doc_id), 'NOPLACEHOLDER') as shape from m""")
 def entity_shape(spark, sf_dir):
     """T15."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.entity_shape(text.mask(F.col("text"))).alias("shape"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.entity_shape(text.mask(plain("text"))).alias("shape"))
 
 
 @query("""select doc_id, (greatest(ceil(length(text) / 3), ceil(len(list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) * 1.5)) + 16)::bigint as tokens from documents""")
@@ -189,12 +197,12 @@ def prefix_block_pairs(spark, sf_dir):
     return blocking.prefix_pairs(records(spark, sf_dir))
 
 
-@query(f"""with m as (select doc_id, {_masked_sql('text')} as s from documents), p as (select doc_id, s, regexp_extract_all(s, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from m),
+@query(f"""with m as (select doc_id, {_masked_sql(_PLAIN)} as s from documents), p as (select doc_id, s, regexp_extract_all(s, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from m),
 c as (select doc_id, s, k, count(*) // 5 as n from (select doc_id, s, unnest(p) as k from p) group by all), h as (select doc_id as id, (length(s) // 40)::varchar || '|' || string_agg(k || n::varchar, ':' order by k) as key from c group by doc_id, s),
 {_capped('select id, key from h')}""")
 def shape_block_pairs(spark, sf_dir):
     """B2."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.mask(F.col("text")).alias("skeleton"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.mask(plain("text")).alias("skeleton"))
     return blocking.shape_pairs(d)
 
 
