@@ -59,58 +59,70 @@ def build(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, text.astype(np.uint16), part
 
 
+def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of intervals, given their starts and sizes."""
+    return np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
+
+
 def classes(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
     """Whether each suffix, in sorted order, parts from the one before it within ``length`` symbols."""
     n = len(order)
     bwt = text[order - 1]  # of the first place the last end: an end either way
-    psi = np.argsort(bwt, kind="stable")  # where each suffix's next suffix stands
-    lf = np.empty(n, np.int64)
-    lf[psi] = np.arange(n)
+    psi = np.argsort(bwt, kind="stable").astype(np.int32)  # where each suffix's next suffix stands
+    lf = np.empty(n, np.int32)
+    lf[psi] = np.arange(n, dtype=np.int32)
     first = bwt[psi]
-    ends = int(np.searchsorted(first, 1))
-    bound = np.zeros(n + 1, bool)
-    bound[: ends + 1] = True
-    bound[1:n] |= first[1:] != first[:-1]
-    bound[n] = True
-    split = bound.copy()  # of the symbols' own buckets
-    front = np.flatnonzero(bound[:n])[1:]
+    bound = np.ones(n, bool)
+    bound[1:] = (first[1:] != first[:-1]) | (first[1:] == 0)
+    split = np.append(bound, True)  # between symbols no interval is extended
+    begin = np.flatnonzero(bound)
+    # intervals by number: the number of each place, and where each starts and stops
+    number = (np.cumsum(bound) - 1).astype(np.int32)
+    start, stop, known = np.empty(n, np.int64), np.empty(n, np.int64), len(begin)
+    start[:known], stop[:known] = begin, np.append(begin[1:], n)
+    size = stop[:known] - start[:known]
+    most = int(np.argmax(size))
+    part = np.arange(known) != most
+    p = _spread(start[:known][part], size[part])
     for _ in range(1, length):
-        if not len(front):
-            break
-        cuts = np.flatnonzero(bound)
-        new = np.zeros(len(cuts), bool)
-        i = np.searchsorted(cuts, front)
-        new[i] = True
-        take = np.zeros(len(cuts), bool)
-        take[i] = True
-        take[i - 1] = True
-        k = np.flatnonzero(take)
-        k = k[k < len(cuts) - 1]
-        size = cuts[k + 1] - cuts[k]
-        begins = np.flatnonzero(~new[k])  # parts whose start was a place before: first of their interval
-        most = np.maximum.reduceat(size, begins)
-        group = np.cumsum(~new[k]) - 1
-        large = np.flatnonzero(size == most[group])
-        skip = large[np.unique(group[large], return_index=True)[1]]
-        use = np.ones(len(k), bool)
-        use[skip] = False
-        lo, size = cuts[k[use]], size[use]
-        if not len(lo):
-            break
-        p = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
-        low, high = np.repeat(lo, size), np.repeat(lo + size, size)
-        real = bwt[p] != 0
-        p, low, high = p[real], low[real], high[real]
-        q = lf[p]
+        p = p[bwt[p] != 0]
+        q, own = lf[p], number[p]
         up = ~split[q + 1]
-        up[up] = psi[q[up] + 1] >= high[up]
+        up[up] = number[psi[q[up] + 1]] != own[up]
         down = ~split[q]
-        down[down] = psi[q[down] - 1] < low[down]
+        down[down] = number[psi[q[down] - 1]] != own[down]
         marks = np.concatenate((q[up] + 1, q[down]))
-        marks = np.unique(marks[~bound[marks]])
+        marks = np.unique(marks[~bound[marks]]).astype(np.int64)
+        if not len(marks):
+            break
         bound[marks] = True
-        front = marks
-    return bound[:n]
+        # each interval with marks falls into parts; the largest keeps its number
+        whole = number[marks]
+        head = np.ones(len(marks), bool)
+        head[1:] = whole[1:] != whole[:-1]
+        group = np.cumsum(head) - 1
+        ids = whole[head]
+        at = np.arange(len(marks)) + group + 1  # a part starts at each mark, and one before the first of each interval
+        lo = np.empty(len(marks) + len(ids), np.int64)
+        firsts = np.flatnonzero(head) + np.arange(len(ids))
+        lo[at], lo[firsts] = marks, start[ids]
+        hi = np.append(lo[1:], 0)
+        lasts = np.append(firsts[1:], len(lo)) - 1
+        hi[lasts] = stop[ids]
+        size = hi - lo
+        tops = np.repeat(np.maximum.reduceat(size, firsts), np.diff(np.append(firsts, len(lo))))
+        large = np.flatnonzero(size == tops)
+        owner = np.searchsorted(firsts, large, side="right") - 1
+        keep = large[np.unique(owner, return_index=True)[1]]
+        start[ids], stop[ids] = lo[keep], hi[keep]
+        part = np.ones(len(lo), bool)
+        part[keep] = False
+        lo, hi, size = lo[part], hi[part], size[part]
+        fresh = np.arange(known, known + len(lo))
+        start[fresh], stop[fresh], known = lo, hi, known + len(lo)
+        p = _spread(lo, size)
+        number[p] = np.repeat(fresh, size).astype(np.int32)
+    return bound
 
 
 def repeats(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quillsift.llm import bwt
-from quillsift.scratch import staged
+from quillsift.scratch import small_batches, staged
 
-LENGTH, GRAM, BLOCK, HOT = 100, 32, 1_500_000, 50_000
+LENGTH, GRAM, BLOCK, HOT = 100, 32, 400_000, 50_000
 _U = np.uint64
 
 
@@ -214,6 +214,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, hot: int = HOT, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (``with_bytes``) kept: the bytes that stay of each whole text."""
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     slim = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
     digest = staged(slim.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "suffix-digest")
