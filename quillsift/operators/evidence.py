@@ -41,7 +41,7 @@ def reuse_severity(confidence: Column, relation: Column) -> Column:
 
 
 def reuse_match_type(e: dict[str, Column]) -> Column:
-    """X1's order of decisions, from flags and measures of a pair; null where nothing is found."""
+    """X1's order of decisions, from flags and measures of a pair; null where nothing is found. ``same_section``: any equal section."""
     kind = (
         F.when(e["same_text"], "exact_full_abstract")
         .when(e["same_results"], "exact_results_section")
@@ -52,7 +52,7 @@ def reuse_match_type(e: dict[str, Column]) -> Column:
         .when(e["coverage"] >= H.MEDIUM_COVERAGE, "moderate_shared_coverage")
     )
     lone = (e["sentences"] == 1) & (e["coverage"] < H.LONE_COVERAGE) & kind.isin("high_shared_coverage", "moderate_shared_coverage")
-    return F.when(~lone, kind)
+    return F.when(~lone | e.get("same_section", F.lit(False)), kind)
 
 
 def template_confidence(masked: Column, original: Column, substitutions: Column, section: Column) -> Column:

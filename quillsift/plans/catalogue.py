@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillsift import thresholds as H
 from quillsift.functions import patterns as P
 from quillsift.functions import similarity, text
-from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, risk, rules
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, reuse, risk, rules
 from quillsift.sources import markup
 from quillsift.sources.tables import rule_id
 
@@ -302,9 +302,11 @@ def token_overlap_bound(spark, sf_dir):
 
 @query()
 def sequence_similarity(spark, sf_dir):
-    """V1, V5, V6 on the pairs that V8 lets through."""
-    r = records(spark, sf_dir).select("id", text.match_form(F.col("original")).alias("form"))
-    near = blocking.overlap_bound(blocking.ngram_pairs(records(spark, sf_dir)), records(spark, sf_dir)).where(F.col("bound") >= H.TEMPLATE_ORIGINAL)
+    """V1, V5, V6 on the pairs of B7 and B13."""
+    r, x = records(spark, sf_dir), lines(spark, sf_dir)
+    sentences = r.select("id", F.explode(text.feature_sentences(F.col("original"))).alias("sentence"))
+    near = blocking.body_pairs(r, x).unionByName(blocking.sentence_pairs(sentences)).distinct()
+    r = r.select("id", text.match_form(F.col("original")).alias("form"))
     met = near.join(r.select(F.col("id").alias("a"), F.col("form").alias("x")), "a").join(r.select(F.col("id").alias("b"), F.col("form").alias("y")), "b")
     out = met.select("a", "b", similarity.mutual_similarity("x", "y").alias("similarity"), similarity.largest_block("x", "y").alias("block"), similarity.shared_coverage(F.col("x"), F.col("y"), F.lit(0)).alias("coverage"))
     return out.select("a", "b", F.round("similarity", 6).alias("similarity"), "block", F.round("coverage", 6).alias("coverage"))
@@ -312,18 +314,12 @@ def sequence_similarity(spark, sf_dir):
 
 @query()
 def exact_text_reuse(spark, sf_dir):
-    """X1 from sequence_similarity: match type, confidence, severity."""
-    r = records(spark, sf_dir).select("id", text.match_form(F.col("original")).alias("form"), "source")
-    s = lines(spark, sf_dir).select("id", text.match_form(F.col("text")).alias("s")).where(F.size(F.split("s", " ")) >= H.SENTENCE_WORDS).distinct()
-    df = s.groupBy("s").count().where(F.col("count").between(2, H.SENTENCE_DF)).select("s")
-    rare = s.join(df, "s")
-    common = rare.select(F.col("id").alias("a"), "s").join(rare.select(F.col("id").alias("b"), "s"), "s").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("sentences"))
-    met = sequence_similarity(spark, sf_dir).join(common, ["a", "b"], "left").join(r.select(F.col("id").alias("a"), F.col("form").alias("x"), F.col("source").alias("sx")), "a").join(r.select(F.col("id").alias("b"), F.col("form").alias("y"), F.col("source").alias("sy")), "b")
-    n = F.coalesce("sentences", F.lit(0))
-    kind = evidence.reuse_match_type({"same_text": F.col("x") == F.col("y"), "same_results": F.lit(False), "same_methods": F.lit(False), "sentences": n, "rare_words": F.lit(0), "rare_similarity": F.lit(0.0), "coverage": F.col("coverage")})
-    found = met.withColumn("match_type", kind).where("match_type is not null").withColumn("confidence", evidence.reuse_confidence(F.col("match_type"), n, F.col("coverage")))
+    """Match type, confidence, severity of all pairs with reuse."""
+    r = records(spark, sf_dir)
+    side = lambda key, s: r.select(F.col("id").alias(key), F.col("source").alias(s))
+    found = reuse.exact_reuse(r, lines(spark, sf_dir)).join(side("a", "sx"), "a").join(side("b", "sy"), "b")
     relation = F.when(F.col("sx") == F.col("sy"), "possible").otherwise("none")
-    return found.select("a", "b", "match_type", "confidence", evidence.reuse_severity(F.col("confidence"), relation).alias("severity"), "coverage", n.alias("sentences"))
+    return found.select("a", "b", "match_type", "confidence", evidence.reuse_severity(F.col("confidence"), relation).alias("severity"), F.round("coverage", 6).alias("coverage"), "sentences")
 
 
 @query()
