@@ -14,6 +14,10 @@ from quillsift.operators.blocking import title_pairs
 _RANK = {c: i for i, c in enumerate(H.CONFIDENCES)}
 
 
+#: X1's match types that are shared text without an equal section.
+DISTINCTIVE = ("multiple_distinctive_sentences", "rare_exact_phrase", "high_shared_coverage", "moderate_shared_coverage")
+
+
 def rank(values: tuple[str, ...], x: Column) -> Column:
     """Place of a word in an ordered vocabulary, -1 if it is none of it."""
     return (F.coalesce(F.array_position(F.array(*[F.lit(v) for v in values]), x), F.lit(0)) - 1).cast("int")
