@@ -14,9 +14,13 @@ signatures at least. Once the frequency of every signature is known, a set with
 with its c - X rarest: the rarest signature that two linked sets share is among these for both. This is exact, and leaves
 neither empty segments nor passages that many documents share as large meeting places.
 
-Inside a meeting place every set is paired with the least one only. Those pairs are verified on the whole texts; then,
-where the members of a place still lie in several components, members of different components are paired and verified. So
-no link between components is lost, and a group of n near copies costs about n pairs.
+Inside a meeting place every set is paired with the least one only. Then, where the members of a place still lie in
+several components, each meets a few drawn members of other components, and what is still apart meets all others. So no link
+between components is lost, and a group of n near copies costs about n pairs.
+
+A pair is verified on the whole texts only if its parity sketches allow it: each shingle flips one of the ``2 ** k`` bits of its
+set's sketch, so the bits in which two sketches differ are at most the shingles in which the sets differ. With ``WIDTH`` bits
+a difference that links may have, few pairs pass that do not link, and none that link are lost.
 
 Defined cases: a text without words (null, empty) has an empty set and links with nothing; a text of fewer than n words
 is one shingle; rows that share a doc_id are one node of the graph; a null doc_id links with nothing and has a null
@@ -37,9 +41,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsift.llm.components import components
-from quillsift.scratch import small_batches, staged
+from quillsift.scratch import dropped, small_batches, staged
 
 GROWTH, SLACK = 1.5, 0.1
+#: Bits of a sketch for each difference that linked sets may have; members drawn from each end of a place's order.
+WIDTH, DRAWS = 16, 4
 _U = np.uint64
 _KNOWN = 150_000
 
@@ -164,14 +170,39 @@ def signatures(h: np.ndarray, scheme: Scheme, percent: int) -> tuple[np.ndarray,
     return np.concatenate((first, rest)), len(first)
 
 
-def _census(n: int):
+def sketch(h: np.ndarray, percent: int) -> np.ndarray:
+    """Parity of the shingles that fall on each bit; the number of bits, a power of two, grows with the set."""
+    most = WIDTH * differences(len(h), len(h), percent)
+    bits = max(64, 1 << max(0, most - 1).bit_length())
+    odd = np.bincount((h & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+#: SQL: bits in which the sketches x and y differ, the longer one folded onto the other's length.
+_APART = (
+    "aggregate(sequence(0, least(size(x), size(y)) - 1), 0, (n, i) -> n + bit_count("
+    "(case when size(x) > size(y) then x[i] ^ x[i + size(y)] else x[i] end) ^ (case when size(y) > size(x) then y[i] ^ y[i + size(x)] else y[i] end)))"
+)
+
+
+def _allowed(x: str, y: str, percent: int) -> str:
+    """SQL: the pair of ``x`` and ``y`` (size, vec) may link, by sizes and sketches."""
+    fits = f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)"
+    apart = _APART.replace("(x)", f"({x}.vec)").replace("(y)", f"({y}.vec)").replace("x[", f"{x}.vec[").replace("y[", f"{y}.vec[")
+    return f"case when {fits} then {apart} <= ({x}.size + {y}.size) * {100 - percent} div {100 + percent} else false end"
+
+
+def _census(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            sizes, keys, vecs = [], [], []
             for t in b["text"]:
                 w = words_of(t.as_py())
-                out.append((len(hashed(w, n)), hashlib.sha256(b" ".join(w)).digest()[:16] if w else None))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["doc_id", "n_shingles", "key"])
+                h = hashed(w, n)
+                sizes.append(len(h))
+                keys.append(hashlib.sha256(b" ".join(w)).digest()[:16] if w else None)
+                vecs.append(sketch(h, percent) if w else None)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(vecs, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key", "vec"])
 
     return run
 
@@ -201,22 +232,6 @@ def _sign(n: int, schemes: list[Scheme], percent: int):
     return run
 
 
-def _vectors(n: int, schemes: list[Scheme], percent: int):
-    """id, scheme, and 32 bits of each segment's signature."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for doc_id, t in zip(b["id"].to_pylist(), b["text"], strict=True):
-                h = hashed(words_of(t.as_py()), n)
-                out += [(doc_id, s.index, (segments(h, s)[0] & _U(0x7FFFFFFF)).astype(np.int32)) for s in (schemes_of(len(h), schemes, percent) if len(h) else ())]
-            if out:
-                ids, bands_, vectors = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bands_, pa.int64()), pa.array(vectors, pa.list_(pa.int32()))], names=["id", "band", "vec"])
-
-    return run
-
-
 def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, set()
@@ -242,16 +257,25 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 def _mixed(places: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the places that hold several components, with the least component there."""
-    named = places.join(labels, "id", "left").select("sig", "id", "size", "band", "center", F.coalesce("component", "id").alias("comp"))
-    inside = Window.partitionBy("sig")
-    return named.withColumn("lo", F.min("comp").over(inside)).withColumn("hi", F.max("comp").over(inside)).where("lo <> hi").drop("hi")
+    named = places.join(labels, "id", "left").select("sig", "id", "center", F.coalesce("component", "id").alias("comp"))
+    ends = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig", "lo")
+    return named.join(ends, "sig")
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of ``docs`` (doc_id, text)."""
-    small_batches(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    census = staged(slim.mapInArrow(_census(n), "doc_id bigint, n_shingles bigint, key binary"), "jaccard-census")
+def _drawn(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of different components: each set with ``DRAWS`` times two members, drawn anew in each place."""
+    ends = []
+    for k in range(DRAWS):
+        row = F.struct(F.xxhash64("id", "sig", F.lit(k)).alias("h"), "id", "comp")
+        ends += [F.min(row).alias(f"lo{k}"), F.max(row).alias(f"hi{k}")]
+    chosen = mixed.groupBy("sig").agg(*ends).select("sig", F.array(*[F.col(f"{e}{k}") for k in range(DRAWS) for e in ("lo", "hi")]).alias("chosen"))
+    met = mixed.where("comp <> lo").join(chosen, "sig").select("id", F.explode(F.expr("filter(chosen, x -> x.comp <> comp)")).alias("x"))
+    return met.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()
+
+
+def _core(slim: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of rows whose doc_id is null or has one text."""
+    census = staged(slim.mapInArrow(_census(n, percent), "doc_id bigint, n_shingles bigint, key binary, vec array<bigint>"), "jaccard-census")
     known = census.where("doc_id is not null and key is not null")
     classes = known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top")).where("rep < top").select("key", "rep")
     copies = staged(known.join(classes, "key").where("doc_id <> rep").select("doc_id", "rep").distinct(), "jaccard-copies")
@@ -271,49 +295,67 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     by_set = Window.partitionBy("id", "tag")
     spare = F.element_at(F.array(*[F.lit(s.spare) for s in schemes]), (F.expr("(tag & 255) div 2") + 1).cast("int"))
     exact = met.where("tag % 2 = 1").withColumn("c", F.count(F.lit(1)).over(by_set)).withColumn("r", F.row_number().over(by_set.orderBy("f", "sig"))).where(F.col("r") <= F.col("c") - spare)
-    kept = exact.select("sig", "id", "tag").unionByName(met.where("tag % 2 = 0").select("sig", "id", "tag"))
-    size = F.expr("tag div 256").alias("size")
-    first = F.min(F.struct("id", size)).over(Window.partitionBy("sig"))
-    band = F.expr("(tag & 255) div 2").alias("band")
-    places = kept.select("sig", "id", size, band, first.alias("c"), F.count(F.lit(1)).over(Window.partitionBy("sig")).alias("f")).where("f > 1")
-    places = staged(places.select("sig", "id", "size", "band", F.col("c.id").alias("center"), F.col("c.size").alias("center_size")), "jaccard-places")
-    near = f"100 * least(size, center_size) >= {percent} * greatest(size, center_size)"
-    pairs = places.where(f"id <> center and {near}").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
+    kept = staged(exact.select("sig", "id").unionByName(met.where("tag % 2 = 0").select("sig", "id")), "jaccard-kept")
+    dropped(met)
+    centers = kept.groupBy("sig").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("f")).where("f > 1").select("sig", "center")
+    places = staged(kept.join(centers, "sig"), "jaccard-places")
+    dropped(kept)
+
     wanted = places.select(F.col("id").alias("doc_id")).distinct()
-    texts = staged(slim.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"), "text").count().drop("count"), "jaccard-texts")
-    sure = staged(linked(pairs, texts, n, percent), "jaccard-links")
+    sizes = staged(known.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "vec").dropDuplicates(["id"]), "jaccard-sketches")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sizes.select(F.col("id").alias("a"), F.struct("size", "vec").alias("u")), "a").join(sizes.select(F.col("id").alias("b"), F.struct("size", "vec").alias("v")), "b")
+        return both.where(_allowed("u", "v", percent)).select("a", "b")
+
+    stars = staged(near(places.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()), "jaccard-stars")
+    texts = staged(slim.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "jaccard-texts")
+    sure = staged(linked(stars, texts, n, percent), "jaccard-links")
     labels = staged(components(sure), "jaccard-labels")
 
     mixed = staged(_mixed(places, labels), "jaccard-mixed")
-    # linked sets differ in no more segments than in shingles: told from their vectors before texts are read
-    vectors = texts.join(mixed.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_vectors(n, schemes, percent), "id bigint, band bigint, vec array<int>")
-    vectors = staged(vectors, "jaccard-vectors")
-    near = (
-        f"100 * least(u.size, v.size) >= {percent} * greatest(u.size, v.size)"
-        f" and size(filter(zip_with(u.vec, v.vec, (x, y) -> x = y), e -> e)) >= size(u.vec) - (u.size + v.size) * {100 - percent} div {100 + percent}"
-    )
-    pair = [F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")]
-    # first each set meets one member of another component, drawn anew in each place
-    row = F.struct(F.xxhash64("id", "sig").alias("h"), "id", "comp", "size", "vec")
-    inside = Window.partitionBy("sig")
-    drawn = mixed.join(vectors, ["id", "band"]).withColumns({"first": F.min(row).over(inside), "last": F.max(row).over(inside), "u": row}).where("comp <> lo")
-    drawn = drawn.select("u", F.expr("case when first.comp <> comp then first when last.comp <> comp then last end as v")).where(f"v is not null and {near}")
-    some = staged(linked(drawn.select(*pair).distinct(), texts, n, percent), "jaccard-some")
-    sure = sure.unionByName(some)
+    some = staged(linked(near(_drawn(mixed)), texts, n, percent), "jaccard-some")
     if some.head(1):
+        sure = sure.unionByName(some)
         labels = staged(components(sure), "jaccard-labels")
         mixed = staged(_mixed(places, labels), "jaccard-mixed")
-    # then what is still apart meets all others
-    mixed = mixed.where("id <> center").join(vectors, ["id", "band"])
-    apart = F.expr(f"u.comp <> v.comp and (v.comp = v.lo or u.id < v.id) and {near}")
-    more = mixed.where("comp <> lo").alias("u").join(mixed.alias("v"), (F.col("u.sig") == F.col("v.sig")) & apart).select(*pair).distinct()
+    # what is still apart meets all others
+    mixed = mixed.where("id <> center").join(sizes, "id")
+    apart = F.expr(f"u.comp <> v.comp and (v.comp = v.lo or u.id < v.id) and {_allowed('u', 'v', percent)}")
+    more = mixed.where("comp <> lo").alias("u").join(mixed.alias("v"), (F.col("u.sig") == F.col("v.sig")) & apart)
+    more = more.select(F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")).distinct()
     extra = staged(linked(more, texts, n, percent), "jaccard-more")
     final = components(sure.unionByName(extra)) if extra.head(1) else labels
+    final = staged(final, "jaccard-final")
+    for table in (places, sizes, texts, mixed):
+        dropped(table)
 
-    met = census.join(copies, "doc_id", "left").withColumn("node", F.coalesce("rep", "doc_id"))
+    met = census.drop("vec").join(copies, "doc_id", "left").withColumn("node", F.coalesce("rep", "doc_id"))
     return met.join(final, met["node"] == final["id"], "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
 
+def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of each row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = slim.select("doc_id", F.sha2("text", 256).alias("sha")).where("doc_id is not null").groupBy("doc_id").agg(F.min("sha").alias("lo"), F.max("sha").alias("hi"))
+    if not rows.where("lo <> hi").head(1):
+        return _core(slim, n, percent)
+    # doc_ids with several texts: each text of each doc_id is a set of its own, and a doc_id ties its texts together
+    named = slim.withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256)).groupBy("doc_id", "sha").agg(F.first("text").alias("text"))
+    named = staged(named.withColumn("uid", F.monotonically_increasing_id()), "jaccard-uids")
+    found = staged(_core(named.select(F.col("uid").alias("doc_id"), "text"), n, percent), "jaccard-by-text")
+    tied = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("uid").alias("a")).join(named, "doc_id").select("a", F.col("uid").alias("b"))
+    joined = found.join(named.where("doc_id is not null").select("uid"), F.col("doc_id") == F.col("uid"), "left_semi").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+    labels = components(tied.unionByName(joined).where("a <> b"))
+    node = named.join(labels, named["uid"] == labels["id"], "left").select("doc_id", "sha", "uid", F.coalesce("component", "uid").alias("comp"))
+    node = staged(node.join(found.select(F.col("doc_id").alias("uid"), "n_shingles"), "uid"), "jaccard-nodes")
+    least = node.where("doc_id is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    node = node.join(least, "comp", "left").select(F.col("doc_id").alias("n_id"), "sha", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    given = slim.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    return given.join(node, given["doc_id"].eqNullSafe(node["n_id"]) & (given["sha"] == node["sha"])).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """The contract's join of all ``documents``: three words, 90 per cent."""
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 3, 90)
