@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: toxicity, line dedup, near duplicates, mixing, packing.
 
 Every stage takes the rows that its predecessor kept, and its decisions take effect: toxic documents go, repeated line chunks
-are cut out of texts, one document of each near-duplicate group stays, a source's documents come as often as its target
+are cut out of texts (what loses all lines goes), one document of each near-duplicate group stays, a source's documents come as often as its target
 asks for, and what is left is packed. Counted as part of the subpackage ``quillsift.llm``.
 """
 
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without line chunks that occurred before; n_chars follows the text."""
-    cut = lines.line_dedup(docs)
+    """Documents without line chunks that occurred before; n_chars follows the text. One that loses all its lines goes."""
+    cut = lines.line_dedup(docs).where("line__n_removed < line__n_lines")
     n_chars = F.when(F.col("line__n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars")
     return cut.select(*[n_chars if c == "n_chars" else c for c in docs.columns])
 
