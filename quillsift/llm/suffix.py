@@ -8,7 +8,7 @@ hash of the 32-byte grams in it. Neighbouring strings mostly share that gram; su
 more, moves as a whole, and only if its key occurs again. Contexts of equal bytes are settled by the earliest. The others
 are concatenated in blocks (whole keys, about ``BLOCK`` bytes), whose Burrows-Wheeler transform yields the classes of
 equal strings by threshold-bounded interval expansion (``bwt``). A key with more than ``HOT`` contexts is split: its
-distinct contexts become single strings, keyed by the hash of their LENGTH bytes.
+distinct contexts become single strings of LENGTH bytes, each joined with its earliest place.
 
 Defined cases: a null text is empty; texts below LENGTH bytes lose nothing; rows of one doc_id are ordered by the hash of
 their text, null doc_ids come last, and rows that repeat doc_id and text are one document (each gets its result);
@@ -24,12 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from quillsift.llm import bwt
-from quillsift.scratch import small_batches, staged
+from quillsift.scratch import dropped, small_batches, staged
 
-LENGTH, GRAM, BLOCK, HOT = 100, 32, 400_000, 50_000
+LENGTH, GRAM, BLOCK, HOT = 100, 32, 400_000, 10_000
 _U = np.uint64
 
 
@@ -171,11 +170,12 @@ def _windows(length: int):
 
 def covered(texts: DataFrame, length: int = LENGTH, block: int = BLOCK, hot: int = HOT) -> DataFrame:
     """uid, start, stop: byte ranges (they may overlap) to remove from distinct ``texts`` (uid, text)."""
-    anchors = texts.mapInArrow(_anchors(length), "key bigint, uid bigint, place bigint")
-    again = anchors.withColumn("f", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("f > 1")
-    again = again.select("uid", F.struct("key", "place").alias("x")).groupBy("uid").agg(F.collect_list("x").alias("marks"))
+    anchors = staged(texts.mapInArrow(_anchors(length), "key bigint, uid bigint, place bigint"), "suffix-anchors")
+    keys = staged(anchors.groupBy("key").count().where("count > 1").select("key"), "suffix-keys")  # a table: a hot key's join can be split
+    again = anchors.join(keys, "key").select("uid", F.struct("key", "place").alias("x")).groupBy("uid").agg(F.collect_list("x").alias("marks"))
     found = texts.join(again, "uid").select("uid", "text", "marks").mapInArrow(_contexts(length), "key bigint, uid bigint, start bigint, bytes binary")
     found = staged(found, "suffix-contexts")
+    dropped(anchors)
     busy = found.groupBy("key").count().where(F.col("count") > hot).select("key")
     ranges = "uid bigint, start bigint, stop bigint"
     if not busy.head(1):
@@ -186,8 +186,9 @@ def covered(texts: DataFrame, length: int = LENGTH, block: int = BLOCK, hot: int
     firsts = staged(much.groupBy("key", "bytes").agg(F.min(F.struct("uid", "start")).alias("x")), "suffix-firsts")
     same = much.join(firsts, ["key", "bytes"]).where("uid <> x.uid or start <> x.start").select("uid", "start", (F.col("start") + F.octet_length("bytes")).alias("stop"))
     single = firsts.select(F.col("x.uid").alias("uid"), F.col("x.start").alias("start"), "bytes").mapInArrow(_windows(length), "uid bigint, start bigint, bytes binary")
-    single = single.groupBy("bytes").agg(F.min(F.struct("uid", "start")).alias("x"), F.count(F.lit(1)).alias("f")).where("f > 1").join(single, "bytes").select(F.xxhash64("bytes").alias("key"), "uid", "start", "bytes")
-    return _settled(calm, length, block, ranges).unionByName(same).unionByName(_settled(single, length, block, ranges))
+    least = staged(single.groupBy("bytes").agg(F.min(F.struct("uid", "start")).alias("x"), F.count(F.lit(1)).alias("f")).where("f > 1").drop("f"), "suffix-least")
+    later = single.join(least, "bytes").where("uid <> x.uid or start <> x.start").select("uid", "start", (F.col("start") + length).alias("stop"))
+    return _settled(calm, length, block, ranges).unionByName(same).unionByName(later)
 
 
 def _settled(found: DataFrame, length: int, block: int, ranges: str) -> DataFrame:
@@ -221,8 +222,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, hot:
     ids = digest.select("doc_id", "sha").distinct()
     odd = digest.where("doc_id is null").head(1) or ids.groupBy("doc_id").count().where("count > 1").head(1)
     if odd:  # ids that do not order the texts: number them, in parallel
-        ranked = ids.orderBy(F.col("doc_id").asc_nulls_last(), "sha").rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
-        ids = staged(docs.sparkSession.createDataFrame(ranked, "doc_id long, sha string, uid long"), "suffix-ids")
+        ids = staged(ids.orderBy(F.col("doc_id").asc_nulls_last(), "sha").withColumn("uid", F.monotonically_increasing_id()), "suffix-ids")
         known = slim.withColumn("sha", F.sha2("text", 256)).alias("t").join(ids.alias("i"), F.col("t.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("t.sha") == F.col("i.sha")))
         named = known.groupBy("i.uid").agg(F.first("t.text").alias("text"))
     else:
