@@ -128,7 +128,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         lead, prev = F.col("doc_id").eqNullSafe(first), F.element_at(F.array(*[F.lit(before.get(i, -1)) for i in range(size)]), F.col("bucket") + 1)
     own, more = F.struct(F.col("bucket"), F.lit(0).alias("extra")), F.struct(prev.alias("bucket"), F.lit(1).alias("extra"))
     spread = slim.withColumn("to", F.explode(F.when(lead, F.array(own, more)).otherwise(F.array(own))))
-    out = spread.select("to.bucket", "to.extra", "doc_id", "text").repartition(n, "bucket")
+    out = spread.select("to.bucket", "to.extra", "doc_id", "text").repartitionByRange(n, "bucket")
     return out.sortWithinPartitions("bucket", "extra", F.col("doc_id").asc_nulls_last(), "text")
 
 
