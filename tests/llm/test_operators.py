@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from quillsift.scratch import staged
 from quillsift.llm import bwt, chat, components, jaccard, lines, merkle, mixing, packing, quality, suffix, tokens, toxicity
 from tests.llm.helpers import SCHEMA, corpus, frame, words
+from tests.llm.helpers import lines as lines_of
 
 ROWS = corpus()
 LENGTHY = 100
@@ -207,6 +209,28 @@ def test_segments_never_lose_a_pair():
                 assert sign[0] & sign[1]
 
 
+def test_sketches_allow_every_link(spark):
+    """The sketches' bound is never above the true difference, whatever the two lengths."""
+    r, pairs = np.random.default_rng(7), []
+    for _ in range(150):
+        a = np.unique(r.integers(0, 2**63, int(r.integers(1, 500))).astype(np.uint64))
+        b = np.unique(np.concatenate((a[int(r.integers(0, len(a) // 4 + 1)) :], r.integers(0, 2**63, int(r.integers(0, 30))).astype(np.uint64))))
+        pairs.append((len(a), jaccard.sketch(a, 80).tolist(), len(b), jaccard.sketch(b, 80).tolist(), len(np.setxor1d(a, b)), len(np.intersect1d(a, b))))
+    rows = spark.createDataFrame(pairs, "n long, x array<long>, m long, y array<long>, far long, both long")
+    got = rows.select("*", F.expr(jaccard._APART).alias("apart"), F.expr(jaccard._allowed("u", "v", 80).replace("u.size", "n").replace("v.size", "m").replace("u.vec", "x").replace("v.vec", "y")).alias("may")).collect()
+    assert all(x["apart"] <= x["far"] for x in got) and sum(x["apart"] > 0.6 * x["far"] for x in got) > 100
+    assert all(x["may"] for x in got if 100 * x["both"] >= 80 * (x["n"] + x["m"] - x["both"]))
+    assert len({len(x["x"]) != len(x["y"]) for x in got}) == 2
+
+
+def test_jaccard_repeated_ids(spark):
+    """A doc_id with several texts is one node: links of each of its texts count."""
+    t = [words(700 + k, 60) for k in range(4)]
+    rows = [(9, t[0]), (1, t[0]), (9, t[1]), (4, t[1] + " end"), (9, t[1]), (6, t[2]), (6, None), (7, t[3]), (None, t[2])]
+    got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()), key=str)
+    assert got == sorted([(9, 1)] * 3 + [(1, 1), (4, 1), (6, 6), (6, 6), (7, 7), (None, None)], key=str)
+
+
 def test_components(spark):
     edges = [(1, 2), (3, 2), (9, 8), (8, 7), (5, 5), (7, 3), *((100, k) for k in range(101, 140))]
     got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -240,9 +264,59 @@ def test_packing(spark, docs):
         assert [r["start"] for r in own] == list(range(0, len(ids), 64))
 
 
+def test_best_fit_against_plain_search():
+    r = random.Random(4)
+    for _ in range(60):
+        sizes = [r.randint(1, 40) for _ in range(r.randint(1, 60))]
+        room, bins = [], []
+        for i in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+            fit = [b for b in range(len(bins)) if room[b] >= sizes[i]]
+            if fit:
+                b = min(fit, key=lambda b: room[b])
+                bins[b].append(i)
+                room[b] -= sizes[i]
+            else:
+                bins.append([i])
+                room.append(40 - sizes[i])
+        got = packing.best_fit(sizes, 40)
+        assert sorted(i for b in got for i in b) == list(range(len(sizes))) and len(got) == len(bins)
+        assert sorted(sum(sizes[i] for i in b) for b in got) == sorted(40 - x for x in room)
+        full = sorted(40 - sum(sizes[i] for i in b) for b in got)
+        assert all(40 - x + 40 - y > 40 for x, y in itertools.pairwise(full[-2:]))  # the two emptiest don't fit in one
+
+
+def test_packing_hands_on_what_can_be_filled(spark, monkeypatch):
+    """Many bins above half, short pieces in other partitions: a small HANDED gives as few sequences as a large one."""
+    sizes = [60] * 400 + [35] * 90 + [5] * 40
+    rows = spark.createDataFrame([(k, 0, 0, n, 0) for k, n in enumerate(sizes)], packing.PIECES).repartition(11, "doc_id")
+    found = []
+    for handed, chunk in ((25_000, 200_000), (100, 7)):
+        monkeypatch.setattr(packing, "HANDED", handed)
+        monkeypatch.setattr(packing, "CHUNK", chunk)
+        found.append(packing.pack(rows, 100).select("sequence_id").distinct().count())
+    assert found[0] == found[1] == 400
+
+
+def test_repeated_ids_and_clashes_in_tokens_and_packing(spark, tmp_path):
+    rows = [(1, "one two", "x"), (1, "one two", "x"), (1, "three", "y"), (None, "four", None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, piece string")
+    packed = packing.best_fit_packing(docs, tokens.vocabulary("word_bpe_49k.json"), 8).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == {1: 3, None: 2}
+    folder = f"file://{tmp_path}/r"
+    read = tokens.read_tokens(spark, folder, tokens.write_tokens(docs, folder, tokens.vocabulary("byte_bpe_50k.json"))).orderBy("start").collect()
+    assert [r["doc_id"] for r in read] == [1, 1, 1, None, None]
+    assert [r["start"] for r in read] == [sum(x["n_tokens"] for x in read[:k]) for k in range(5)]
+
+
 # 6
 
 
+def test_chat_very_long_text(spark):
+    long = "word " * 200_000
+    got = chat.chat_format(spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == 2 and sum(x["rendered"].count("word ") for x in got) == 400_000
+
+
 def cheapest(seen):
     """All ways by exhaustive search: the least cost."""
     best = {chat.START: 0}
@@ -303,7 +377,57 @@ def test_ordinal_model_held_out():
     assert dose == sorted(dose)
 
 
+def test_ordinal_gradients():
+    """Likelihood against plain Python, gradients against differences."""
+    r = np.random.default_rng(3)
+    s, t, grade = r.normal(size=40) * 2, np.array([0.3, -0.4, 0.2]), r.integers(0, 4, 40)
+
+    def plain_loss(s, t):
+        th, total = [t[0], t[0] + math.exp(t[1]), t[0] + math.exp(t[1]) + math.exp(t[2])], 0.0
+        for x, g in zip(s, grade, strict=True):
+            up = [1.0, *(1 / (1 + math.exp(c - x)) for c in th), 0.0]
+            total -= math.log(up[g] - up[g + 1])
+        return total / len(s)
+
+    loss, ds, dt = toxicity.likelihood(s, t, grade)
+    assert abs(loss - plain_loss(s, t)) < 1e-12
+    for x, d, f in ((s, ds, lambda v: plain_loss(v, t)), (t, dt, lambda v: plain_loss(s, v))):
+        for i in range(len(x)):
+            a, b = x.copy(), x.copy()
+            a[i], b[i] = x[i] - 1e-5, x[i] + 1e-5
+            assert abs((f(b) - f(a)) / 2e-5 - d[i]) < 1e-6
+
+
+def test_balanced_cut():
+    r = random.Random(2)
+    for _ in range(50):
+        n = r.randint(4, 30)
+        y = np.array([0.0, 1.0, *(float(r.random() < 0.3) for _ in range(n))])
+        s = np.array([round(r.random() + 0.3 * k, 1) for k in y])
+        error = lambda c: np.mean(s[y > 0] < c) + np.mean(s[y == 0] >= c)
+        cut = toxicity.balanced_cut(s, y)
+        inner = [(a + b) / 2 for a, b in itertools.pairwise(sorted(set(s.tolist())))]
+        assert cut == toxicity.CUT if not inner else error(cut) <= min(map(error, inner)) + 1e-9
+
+
+def test_cut_comes_from_held_out_rows(spark):
+    """Few markers a text and many one-off words: the cut tells unseen texts, where one fixed for confident models does not."""
+    r, bad = random.Random(9), ["vile", "scum", "oaf", "twit", "cur", "lout"]
+    rows = []
+    for k in range(1500):
+        w = words(5000 + k, 80).split()
+        for _ in range(r.randint(1, 3) if k % 8 == 0 else 0):
+            w.insert(r.randrange(len(w)), r.choice(bad))
+        rows.append((k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 8 == 0)) for k in range(1000)], "doc_id long, toxic int")
+    m = toxicity.train(docs, labels)
+    got = {x["doc_id"]: x["tox__flag"] for x in toxicity.score(docs.where("doc_id >= 1000"), m).collect()}
+    assert np.mean([f for k, f in got.items() if k % 8 == 0]) > 0.9 and np.mean([not f for k, f in got.items() if k % 8]) > 0.9
+
+
 def test_toxicity_edges(spark, docs, none):
+    assert toxicity.score(none, toxicity.train(none, spark.createDataFrame([], "doc_id long, toxic int"))).count() == 0
     labels = spark.createDataFrame([(0, 1), (2, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     m = toxicity.train(docs, labels)
     assert toxicity.score(docs, m).count() == len(ROWS)
@@ -330,6 +454,27 @@ def test_fingerprints_of_edits(spark, docs):
     assert by[0]["fingerprint"] == by[1]["fingerprint"] != by[2]["fingerprint"]
 
 
+def test_fingerprints_alone_and_with_one_id(spark):
+    alone = merkle.with_next(spark.createDataFrame([(3, "abcdefgh")], "doc_id long, text string")).mapInArrow(merkle._rows, merkle.SCHEMA).collect()
+    assert len(alone) == 1 and alone[0]["near_next"] == 1.0
+    assert alone[0]["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
+    two = merkle.with_next(spark.createDataFrame([(3, "b" * 8), (3, "a" * 8), (5, "c" * 8)], "doc_id long, text string")).mapInArrow(merkle._rows, merkle.SCHEMA).collect()
+    want = {hashlib.sha256(x.encode()).hexdigest() for x in ("a" * 6 + "bb", "b" * 6 + "cc", "c" * 6 + "aa")}
+    assert {x["edited_sha256"] for x in two} == want
+
+
+def test_merkle_roots_by_hand():
+    """Equal texts, and only these, have equal roots; likeness is that of the paragraphs' weights."""
+    r = random.Random(6)
+    texts = ["\n".join(words(r.randint(0, 12), 8) for _ in range(r.randint(1, 5))) for _ in range(80)]
+    roots = [merkle.fingerprint(t) for t in texts]
+    for (a, x), (b, y) in itertools.combinations(zip(texts, roots, strict=True), 2):
+        assert (x == y) == (a == b)
+        if not set(a.split("\n")) & set(b.split("\n")):
+            assert merkle.likeness(x, y) < 0.35
+        assert merkle.likeness(x, y) == merkle.likeness(y, x) <= 1
+
+
 def test_branches_locate_an_edit():
     text = "\n".join(words(k, 10) for k in range(30))
     parts = text.split("\n")
@@ -346,21 +491,16 @@ def test_branches_locate_an_edit():
 
 
 def lines_by_hand(rows, divisor=lines.DIVISOR):
-    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
     seen, out = set(), {}
     for doc_id, text in rows:
-        ls = (text or "").split("\n")
-        h, start, keep, gone = [md5(x) for x in ls], 0, [], 0
-        for i in range(len(ls)):
-            if i == len(ls) - 1 or int(md5(h[max(i - 1, 0)] + h[i])[:7], 16) % divisor == 0:
-                body = "\n".join(ls[start : i + 1])
-                if i > start and body in seen:
-                    gone += i + 1 - start
-                else:
-                    keep += ls[start : i + 1]
-                seen.add(body)
-                start = i + 1
-        out[doc_id] = ("\n".join(keep), gone)
+        ls, gone = (text or "").split("\n"), set()
+        ends = [i for i, x in enumerate(ls) if plain(x) and int(hashlib.md5(x.encode()).hexdigest()[:7], 16) % divisor]
+        for a, b in zip(ends, ends[1:], strict=False):
+            body = "\n".join(ls[a : b + 1])
+            if body in seen:
+                gone |= {*range(a, b + 1)}
+            seen.add(body)
+        out[doc_id] = ("\n".join(x for i, x in enumerate(ls) if i not in gone), len(gone))
     return out
 
 
@@ -372,6 +512,40 @@ def test_line_dedup(docs):
     assert sum(n for _, n in got.values()) > 100 and {"bucket", "uid", "n"} <= set(out.columns)
 
 
+def test_line_dedup_finds_planted_passages(spark):
+    """Passages of 2 to 20 lines, each in three texts: what share of their repeated lines goes, and no line of theirs is lost."""
+    r, rows, planted = random.Random(11), [], {}
+    for k in range(300):
+        size = r.choice([2, 3, 4, 6, 10, 20])
+        passage = lines_of(10_000 + k, size).split("\n")
+        for c in range(3):
+            own = [lines_of(20_000 + 10 * k + c, 4).split("\n"), lines_of(30_000 + 10 * k + c, 3).split("\n")]
+            planted[len(rows)] = (size, c, passage, own[0] + own[1])
+            rows.append((len(rows), "\n".join(own[0] + passage + own[1])))
+    got = {x["doc_id"]: x["text"].split("\n") for x in lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, gone, there = Counter(), Counter(), Counter()
+    for k, (size, c, passage, own) in planted.items():
+        assert [x for x in got[k] if x in own] == own  # what is not repeated stays
+        if c == 0:
+            assert [x for x in got[k] if x not in own] == passage
+        else:
+            lost = sum(x not in got[k] for x in passage)
+            found[size] += lost > 0
+            gone[size] += lost
+            there[size] += 1
+    assert all(found[n] >= 0.9 * there[n] for n in (3, 4, 6, 10, 20)) and found[2] >= 0.65 * there[2]
+    assert all(gone[n] >= 0.85 * n * there[n] for n in (4, 6, 10, 20))
+
+
+def test_line_dedup_keeps_the_first_of_equal_lines(spark):
+    texts = ["a\nb\nc\nd", "z\nb\nc\nq", "a\nb\nc\nd", "x\nx\nx\nx", "solo", "p\n\np", "p\n\nw", None]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0])]
+    got = [(x["doc_id"], x["text"]) for x in lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {k: t or "" for k, t in got} == {k: v[0] for k, v in lines_by_hand(enumerate(texts)).items()}
+    left = {x for _, t in got for x in (t or "").split("\n")}
+    assert left >= {x for t in texts for x in (t or "").split("\n")}
+
+
 # 10
 
 
@@ -405,6 +579,14 @@ def test_pivotal_rounding_keeps_expectations(spark):
     assert all(abs(total[k] / share[k] - 1) < 0.12 for k in range(9))
 
 
+def test_mix_of_repeated_rows(spark):
+    """Rows alike in all columns are documents of their own."""
+    docs = spark.createDataFrame([(1, "a b c", "s")] * 20 + [(2, "d e", "t")] * 20, "doc_id long, text string, source string")
+    copies = Counter(x["doc_id"] for x in mixing.mix_documents(docs).collect())
+    total, share = 100, {1: 500 / 7, 2: 200 / 7}
+    assert all(abs(copies[k] * n - share[k]) <= 9 for k, n in ((1, 3), (2, 2))) and abs(copies[1] * 3 + copies[2] * 2 - total) <= 15
+
+
 def test_mixed_rows_keep_their_columns(spark, docs):
     for rows in (docs, docs.where("doc_id is not null")):
         out = mixing.mix_documents(rows)
