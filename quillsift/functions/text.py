@@ -93,11 +93,11 @@ def doi(x: Column) -> Column:
 
 def mask(x: Column) -> Column:
     """Registrations and gene-like names in given case, the rest lower-cased and replaced in turn by placeholders."""
-    out = F.regexp_replace(F.coalesce(x, F.lit("")), "(?i)" + P.TRIAL, "<TRIAL_ID>")
-    out = F.lower(F.regexp_replace(out, P.GENE, "<GENE>"))
+    out = F.regexp_replace(F.coalesce(x, F.lit("")), P.java(P.TRIAL, True), "<TRIAL_ID>")
+    out = F.lower(F.regexp_replace(out, P.java(P.GENE), "<GENE>"))
     for pattern, name in ((P.URL, "URL"), (P.EMAIL, "EMAIL"), *((d, "DATE") for d in P.DATES), (P.PVALUE, "PVAL"), (P.PERCENT, "PCT"), (P.DRUG, "DRUG"), (P.NUMBER, "NUM")):
-        out = F.regexp_replace(out, "(?i)" + pattern, f"<{name}>")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+        out = F.regexp_replace(out, P.java(pattern, True), f"<{name}>")
+    return F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
 
 
 def content_class(article_type: Column, title: Column, text: Column, skeleton: Column) -> Column:

@@ -47,20 +47,21 @@ def shared_gram_pairs(grams: DataFrame, least: int, cap: int = H.MAX_NGRAM_BUCKE
 
 def _grams(records: DataFrame, text: Column, n: int, raw: bool = False) -> DataFrame:
     every = lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " ")))
-    return records.select("id", F.explode(let(tokens(text), every) if raw else shingles(tokens(text), n)).alias("key"))
+    grams = records.select("id", F.explode(let(tokens(text), every) if raw else shingles(tokens(text), n)).alias("g"))
+    return grams.select("id", F.struct(F.xxhash64("g").alias("h"), F.xxhash64(F.lit(1), "g").alias("i")).alias("key"))  # 128 bits for the words
 
 
 def prefix_pairs(records: DataFrame, skeleton: str = "skeleton") -> DataFrame:
-    """B1: equal first 15 words and length in forties."""
+    """B1: equal first 15 words and number of words in forties."""
     words = tokens(F.col(skeleton))
-    key = F.concat_ws("|", F.floor(F.length(skeleton) / 40).cast("string"), F.array_join(F.slice(words, 1, 15), " "))
+    key = F.concat_ws("|", F.floor(F.size(words) / 40).cast("string"), F.array_join(F.slice(words, 1, 15), " "))
     return capped_pairs(records.where(F.size(words) > 0).select("id", key.alias("key")))
 
 
 def shape_pairs(records: DataFrame, skeleton: str = "skeleton") -> DataFrame:
-    """B2: equal shape of placeholders and length in forties."""
+    """B2: equal shape of placeholders and number of words in forties."""
     shape = entity_shape(F.col(skeleton))
-    return capped_pairs(records.select("id", shape.alias("s"), F.concat_ws("|", F.floor(F.length(skeleton) / 40).cast("string"), shape).alias("key")).where("s <> 'NOPLACEHOLDER'").select("id", "key"))
+    return capped_pairs(records.select("id", shape.alias("s"), F.concat_ws("|", F.floor(F.size(tokens(F.col(skeleton))) / 40).cast("string"), shape).alias("key")).where("s <> 'NOPLACEHOLDER'").select("id", "key"))
 
 
 def equal_text_pairs(records: DataFrame, text: str, cap: int = H.MAX_BUCKET) -> DataFrame:
@@ -145,7 +146,7 @@ def candidate_slice(pairs: DataFrame, start: int, stop: int) -> DataFrame:
 
 def shared_block_pairs(records: DataFrame, text: str = "original", words: int = H.SHARED_BLOCK_WORDS) -> DataFrame:
     """V5 as a join: pairs with a common run of ``words`` words or more, as a star about the least id of each run."""
-    grams = _grams(records, F.col(text), words).select("id", F.xxhash64("key").alias("h"), "key")
+    grams = _grams(records, F.col(text), words)
     low = grams.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return grams.join(low, "key").where("id > a").select("a", F.col("id").alias("b")).distinct()
 

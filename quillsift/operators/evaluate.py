@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillsift.functions import patterns as P
+
 
 def ratios(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
     """Precision (0 without predictions), recall (1 without positives) and F1."""
@@ -66,9 +68,10 @@ def signal_validation(pairs: DataFrame, baseline: DataFrame, gold: DataFrame) ->
     new = F.col("known").isNull()
     out = met.groupBy("signal").agg(
         F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("verdict") == "positive").alias("gold_positive"), F.count_if(F.col("verdict") == "negative").alias("gold_negative"),
-        F.count_if(new).alias("incremental"), F.count_if(new & (F.col("verdict") == "positive")).alias("incremental_positive"), F.count_if(new & (F.col("verdict") == "negative")).alias("incremental_negative"),
+        F.count_if(F.col("verdict").isNull()).alias("unlabelled"), F.count_if(new).alias("incremental"), F.count_if(new & (F.col("verdict") == "positive")).alias("incremental_positive"), F.count_if(new & (F.col("verdict") == "negative")).alias("incremental_negative"),
     )
-    advice = F.when(F.col("incremental_positive") == 0, "disabled").when(F.col("incremental_negative") >= F.col("incremental_positive"), "rejected").otherwise("candidate")
+    lost, won = F.col("incremental_negative"), F.col("incremental_positive")
+    advice = F.when((won > 0) & (lost == 0), "consider_candidate_route").when(lost > won, "reject_for_topic_noise").otherwise("keep_disabled")
     return out.withColumn("recommendation", advice)
 
 
@@ -81,15 +84,17 @@ def append_gold(gold: DataFrame, new: DataFrame, skip_seen: bool = False) -> Dat
     return old.unionByName(add.join(old, ["a", "b"], "left_anti"))
 
 
-def gold_verdict(verdict: Column) -> Column:
-    """A reviewer's words as positive, negative or manual."""
-    v = F.lower(F.trim(verdict))
-    return F.when(v.isin("positive", "confirmed", "true", "yes", "supported"), "positive").when(v.isin("negative", "rejected", "false", "no", "not_supported"), "negative").otherwise("manual")
+def gold_verdict(verdict: Column, advised: Column, pair_class: Column) -> Column:
+    """A reviewer's words as positive, negative or manual; of words that are not listed the pair's class decides."""
+    v = F.trim(F.coalesce(verdict, F.lit("")))
+    return (
+        F.when(v.isin(*P.GOLD_MANUAL) | (F.trim(F.coalesce(advised, F.lit(""))) == "Needs manual review"), "manual").when(v.isin(*P.GOLD_POSITIVE), "positive")
+        .when(v.isin(*P.GOLD_NEGATIVE), "negative").when(F.trim(F.coalesce(pair_class, F.lit(""))) == "Possible template reuse", "positive").otherwise("negative")
+    )
 
 
 def signatures(sentences: DataFrame) -> DataFrame:
     """B14's keys: assay workflows and endpoint bundles of (id, seq, sentence)."""
-    from quillsift.functions import patterns as P
     from quillsift.functions.text import match_form
 
     found = lambda p: F.transform(F.regexp_extract_all(F.col("sentence"), F.lit(P.java(p, True)), F.lit(0)), match_form)

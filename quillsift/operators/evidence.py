@@ -15,7 +15,7 @@ _RANK = {c: i for i, c in enumerate(H.CONFIDENCES)}
 
 
 #: X1's match types that are shared text without an equal section.
-DISTINCTIVE = ("multiple_distinctive_sentences", "rare_exact_phrase", "high_shared_coverage", "moderate_shared_coverage")
+DISTINCTIVE = ("multiple_distinctive_sentences", "rare_exact_phrase", "substantial_shared_text", "partial_or_reordered_reuse")
 
 
 def rank(values: tuple[str, ...], x: Column) -> Column:
@@ -52,10 +52,10 @@ def reuse_match_type(e: dict[str, Column]) -> Column:
         .when(e["same_methods"], "exact_methods_section")
         .when(e["sentences"] >= 2, "multiple_distinctive_sentences")
         .when((e["rare_words"] > H.RARE_PHRASE_WORDS) | ((e["rare_words"] == H.RARE_PHRASE_WORDS) & (e["rare_similarity"] >= H.RARE_PHRASE_SIMILARITY)), "rare_exact_phrase")
-        .when(e["coverage"] >= H.HIGH_COVERAGE, "high_shared_coverage")
-        .when(e["coverage"] >= H.MEDIUM_COVERAGE, "moderate_shared_coverage")
+        .when(e["coverage"] >= H.HIGH_COVERAGE, "substantial_shared_text")
+        .when(e["coverage"] >= H.MEDIUM_COVERAGE, "partial_or_reordered_reuse")
     )
-    lone = (e["sentences"] == 1) & (e["coverage"] < H.LONE_COVERAGE) & kind.isin("high_shared_coverage", "moderate_shared_coverage")
+    lone = (e["sentences"] == 1) & (e["coverage"] < H.LONE_COVERAGE) & kind.isin("substantial_shared_text", "partial_or_reordered_reuse")
     return F.when(~lone | e.get("same_section", F.lit(False)), kind)
 
 
@@ -91,9 +91,9 @@ def section_score(left: Column, right: Column) -> Column:
 
 def assay_signature(text: Column) -> Column:
     """Kinds of assays that a text names."""
-    low = F.lower(text)
+    low = match_form(text)
     has = lambda *xs: F.array_max(F.array(*[F.contains(low, F.lit(x)) for x in xs]))
-    return labels(pcr=has("pcr"), blot=has("western blot"), elisa=has("elisa"), cytometry=has("flow cytometry"), histochemistry=has("immunohistochemistry", "ihc"), viability=has("cck-8", "mtt", "transwell"))
+    return labels(**{name: has(*words) for name, words in P.ASSAY_GROUPS.items()})
 
 
 def relation(shared_trials: Column, companion: Column, shared_authors: Column, shared_affiliations: Column) -> Column:
@@ -144,7 +144,7 @@ def direct_evidence(e: dict[str, Column]) -> Column:
     return labels(
         exact_original_body=e["exact_body"] & e["has_body"], exact_results_section=e["exact_results"], substantial_shared_original_block=e["block"] >= H.SHARED_BLOCK_WORDS,
         strong_masked_body_with_original_support=(e["masked"] >= H.MASKED_BODY) & (e["original"] >= H.ORIGINAL_SUPPORT), entity_normalized_template=e["template"],
-        distinctive_shared_text=e["reuse"], masked_title_template_with_original_support=e["exact_title"] & (e["original"] >= H.ORIGINAL_SUPPORT),
+        distinctive_shared_text=e["reuse"], masked_title_template_with_original_support=e["exact_title"] & (e["original_title"] >= H.ORIGINAL_SUPPORT),
     )
 
 

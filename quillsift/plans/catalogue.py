@@ -7,7 +7,7 @@ columns what the detectors have to find.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillsift import thresholds as H
@@ -110,34 +110,19 @@ def content_class(spark, sf_dir):
     return d.select("doc_id", text.content_class(F.col("source"), F.lit(""), F.col("text"), F.col("text")).alias("content_class"))
 
 
-def _masked_sql(x: str) -> str:
-    out = f"regexp_replace({x}, '(?i){P.TRIAL}', '<TRIAL_ID>', 'g')"
-    out = f"lower(regexp_replace({out}, '{P.GENE}', '<GENE>', 'g'))"
-    for pattern, name in ((P.URL, "URL"), (P.EMAIL, "EMAIL"), *((d, "DATE") for d in P.DATES), (P.PVALUE, "PVAL"), (P.PERCENT, "PCT"), (P.DRUG, "DRUG"), (P.NUMBER, "NUM")):
-        out = f"regexp_replace({out}, '(?i){pattern}', '<{name}>', 'g')"
-    return f"trim(regexp_replace({out}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+# T13 and what rests on it have no SQL: RE2 knows word boundaries of ASCII only. tests/test_masking.py holds them against plain Python
 
 
-# RE2 knows word boundaries of ASCII only: these queries take texts whose other characters are written as _
-_PLAIN = "regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')"
-
-
-def plain(column):
-    return F.regexp_replace(column, "[^\\x00-\\x7F]", "_")
-
-
-@query(f"select doc_id, {_masked_sql(_PLAIN)} as masked from documents")
+@query()
 def mask_variables(spark, sf_dir):
     """T13."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.mask(plain("text")).alias("masked"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.mask(F.col("text")).alias("masked"))
 
 
-@query(f"""with m as (select doc_id, regexp_extract_all({_masked_sql(_PLAIN)}, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from documents),
-c as (select doc_id, k, count(*) // 5 as n from (select doc_id, unnest(p) as k from m) group by 1, 2)
-select m.doc_id, coalesce((select string_agg(k || n::varchar, ':' order by k) from c where c.doc_id = m.doc_id), 'NOPLACEHOLDER') as shape from m""")
+@query()
 def entity_shape(spark, sf_dir):
     """T15."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.entity_shape(text.mask(plain("text"))).alias("shape"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.entity_shape(text.mask(F.col("text"))).alias("shape"))
 
 
 @query("""select doc_id, (greatest(ceil(length(text) / 3), ceil(len(list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) * 1.5)) + 16)::bigint as tokens from documents""")
@@ -191,18 +176,16 @@ def exact_pairs_small_cap(spark, sf_dir):
     return blocking.equal_text_pairs(records(spark, sf_dir), "original", 3)
 
 
-@query(f"with {_capped(f'''select doc_id as id, (length(lower(text)) // 40)::varchar || '|' || array_to_string(w[1:15], ' ') as key from (select doc_id, text, {_W} as w from documents) where len(w) > 0''')}")
+@query(f"with {_capped(f'''select doc_id as id, (len(w) // 40)::varchar || '|' || array_to_string(w[1:15], ' ') as key from (select doc_id, text, {_W} as w from documents) where len(w) > 0''')}")
 def prefix_block_pairs(spark, sf_dir):
     """B1."""
     return blocking.prefix_pairs(records(spark, sf_dir))
 
 
-@query(f"""with m as (select doc_id, {_masked_sql(_PLAIN)} as s from documents), p as (select doc_id, s, regexp_extract_all(s, '<({'|'.join(P.PLACEHOLDERS)})>', 1) as p from m),
-c as (select doc_id, s, k, count(*) // 5 as n from (select doc_id, s, unnest(p) as k from p) group by all), h as (select doc_id as id, (length(s) // 40)::varchar || '|' || string_agg(k || n::varchar, ':' order by k) as key from c group by doc_id, s),
-{_capped('select id, key from h')}""")
+@query()
 def shape_block_pairs(spark, sf_dir):
     """B2."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.mask(plain("text")).alias("skeleton"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.mask(F.col("text")).alias("skeleton"))
     return blocking.shape_pairs(d)
 
 
@@ -376,12 +359,12 @@ def directional_pairs(spark, sf_dir):
     return evidence.directional(rows.select("a", "b", "pair_class", "priority"))
 
 
-@query("""with v as (select o_orderkey as id, o_custkey as c, list_sort(list_distinct(['t' || (o_custkey % 50), 't' || (o_orderkey % 50)])) as e from orders where o_orderkey % 7 < 5)
+@query("""with v as (select o_orderkey as id, o_custkey as c, list_sort(list_distinct(['t' || (o_custkey % 50), 't' || (o_orderkey % 50)])) as e from orders)
 select x.id as a, y.id as b, array_to_string(list_sort(list_intersect(x.e, y.e)), ' | ') as shared_endpoint, case when list_sort(x.e) = list_sort(y.e) then 'same' when len(list_intersect(x.e, y.e)) > 0 then 'partial' else 'different' end as endpoint_overlap,
 case when len(list_intersect(x.e, y.e)) = len(x.e) and len(x.e) = len(y.e) then 'likely_same_study' else 'likely_companion_analysis' end as interpretation from v x join v y on x.c = y.c and x.id < y.id""")
 def study_context(spark, sf_dir):
     """A customer's orders as studies of one registration."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 < 5)
+    o = table(spark, sf_dir, "orders")
     tag = lambda c: F.concat(F.lit("t"), (F.col(c) % 50).cast("string"))
     none = F.array().cast("array<string>")
     v = o.select(F.col("o_orderkey").alias("id"), F.lit("").alias("text"), F.array(F.concat(F.lit("NCT"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))).alias("trial_id"), none.alias("registry"), none.alias("date"), none.alias("population"), F.array_distinct(F.array(tag("o_custkey"), tag("o_orderkey"))).alias("endpoint"), none.alias("drug"), none.alias("treatment_class"))
@@ -451,8 +434,8 @@ def llm_trace_hits(spark, sf_dir):
     return rules.trace_hits(blocks).select("id", "rule_id", "category", "signal_level", "severity")
 
 
-@query(f"""with l as (select * from (values {', '.join(f"({i}, {str(r[4]).lower()}, '{r[2]}')" for i, r in enumerate(P.TRACE_RULES))}) as l(k, e, lv))
-select doc_id as id, case when e and lv = 'strong' then 'High' when e and lv = 'contextual' then 'Medium' else 'None' end as priority, 1::bigint as n_hits from documents join l on l.k = doc_id % 28""")
+@query(f"""with l as (select * from (values {', '.join(f"({i}, {str(r[4]).lower()}, '{r[2]}', {str(r[5]).lower()})" for i, r in enumerate(P.TRACE_RULES))}) as l(k, e, lv, waits))
+select doc_id as id, case when not e or lv = 'supporting' then 'None' when lv = 'strong' and not waits then 'High' when waits or lv = 'contextual' then 'Low' else 'None' end as priority, 1::bigint as n_hits from documents join l on l.k = doc_id % 28""")
 def llm_trace_priority(spark, sf_dir):
     """L4."""
     said = F.element_at(F.array(*[F.lit(s) for s in _SAID]), (F.col("doc_id") % 28 + 1).cast("int"))
@@ -473,7 +456,8 @@ def tortured_phrase_hits(spark, sf_dir):
 
 def _claims(spark, sf_dir) -> DataFrame:
     """Sentences from line items: counts n of m with a percentage that is off for some, medians and intervals."""
-    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").cast("int").alias("q"), (F.col("l_partkey") % 90 + 10).cast("int").alias("m"), (F.col("l_suppkey") % 4).alias("k"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))  # line numbers repeat
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), place.alias("seq"), F.col("l_quantity").cast("int").alias("q"), (F.col("l_partkey") % 90 + 10).cast("int").alias("m"), (F.col("l_suppkey") % 4).alias("k"))
     n = F.least("q", "m")
     fair = F.round(n * 100 / F.col("m"), 1)
     shown = F.format_string("%.1f", F.when(F.col("q") % 4 == 0, fair + 5).otherwise(fair))
@@ -486,15 +470,19 @@ def _claims(spark, sf_dir) -> DataFrame:
     return x.select("id", "seq", s.alias("sentence"), "q", "m", "k")
 
 
-_CL = "x as (select l_orderkey as id, l_linenumber as seq, l_quantity::int as q, (l_partkey % 90 + 10)::int as m, l_suppkey % 4 as k from lineitem)"
+_CL = "x as (select l_orderkey as id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as seq, l_quantity::int as q, (l_partkey % 90 + 10)::int as m, l_suppkey % 4 as k from lineitem)"
 
 
-@query(f"""with {_CL}, y as (select *, least(q, m) as n, round(least(q, m) * 100 / m, 1) + case when q % 4 = 0 then 5 else 0 end as pc from x),
+@query(f"""with {_CL}, y as (select *, least(q, m) as n, round(least(q, m) * 100 / m, 1) + case when q % 4 = 0 then 5 else 0 end as pc,
+ last_value(case when k = 1 then m end ignore nulls) over (partition by id order by seq rows between unbounded preceding and 1 preceding) as told from x),
+t as (select distinct id, n, m, pc from y where k = 0 and pc <= 100 and abs(pc - m / told * 100) > 1),
 f as (select id, k, q, m, case when k = 0 and pc <= 100 and abs(pc - n / m * 100) > 1 then 'count_percentage_mismatch' when k = 1 and q > m then 'numerator_exceeds_denominator' when k = 2 and not q between 20 and greatest(30, m) then 'median_outside_range' when k = 3 and q > m then 'reversed_interval' end as contradiction from y)
 select distinct id, contradiction, q, m from f where contradiction is not null
-union all select distinct id, 'impossible_percentage', q, m from y where k = 0 and pc > 100""")
+union all select distinct id, 'impossible_percentage', q, m from y where k = 0 and pc > 100
+union all select distinct y.id, 'carried_forward_percentage_mismatch', q, y.m from y join t on y.id = t.id and y.n = t.n and y.m = t.m and y.pc = t.pc and k = 0""")
 def numeric_contradictions(spark, sf_dir):
-    """What the sentences contradict, with the numbers they were made of."""
+    """What the sentences contradict, with the numbers they were made of. "n of m patients (x%)" also reads as m patients
+    (x%), which is held against the last total told before in the record."""
     made = _claims(spark, sf_dir)
     found = rules.numeric_contradictions(rules.numeric_claims(made.select("id", "seq", "sentence")))
     return found.join(made.select("id", "sentence", "q", "m").distinct(), ["id", "sentence"]).select("id", "contradiction", "q", "m").distinct()
@@ -504,8 +492,6 @@ def numeric_contradictions(spark, sf_dir):
 select id, seq, last_value(total ignore nulls) over (partition by id order by seq rows between unbounded preceding and 1 preceding) as carried from x""")
 def carried_denominator(spark, sf_dir):
     """D3: the last total of people told before."""
-    from pyspark.sql import Window
-
     o = table(spark, sf_dir, "orders").withColumn("seq", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long"))
     told = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("A total of "), (F.col("o_orderkey") % 400 + 100).cast("string"), F.lit(" patients were enrolled. 1%"))).otherwise(F.lit("They did well. 1%"))
     claims = rules.numeric_claims(o.select(F.col("o_custkey").alias("id"), "seq", told.alias("sentence")))
@@ -624,8 +610,8 @@ def entity_metrics(spark, sf_dir):
 
 @query("""with p as (select distinct case l_returnflag when 'A' then 'x' when 'N' then 'y' else 'z' end as signal, l_orderkey as a, l_orderkey + l_linenumber as b from lineitem where l_quantity < 9), k as (select distinct l_orderkey as a, l_orderkey + l_linenumber as b from lineitem where l_discount < 0.05),
 g as (select distinct l_orderkey as a, l_orderkey + l_linenumber as b, case when l_tax < 0.03 then 'positive' else 'negative' end as v from lineitem where l_suppkey % 2 = 0), j as (select p.*, v, k.a is null as new from p left join g using (a, b) left join k using (a, b)),
-s as (select signal, count(*) as pairs, count_if(v = 'positive') as gold_positive, count_if(v = 'negative') as gold_negative, count_if(new) as incremental, count_if(new and v = 'positive') as incremental_positive, count_if(new and v = 'negative') as incremental_negative from j group by 1)
-select *, case when incremental_positive = 0 then 'disabled' when incremental_negative >= incremental_positive then 'rejected' else 'candidate' end as recommendation from s""")
+s as (select signal, count(*) as pairs, count_if(v = 'positive') as gold_positive, count_if(v = 'negative') as gold_negative, count_if(v is null) as unlabelled, count_if(new) as incremental, count_if(new and v = 'positive') as incremental_positive, count_if(new and v = 'negative') as incremental_negative from j group by 1)
+select *, case when incremental_positive > 0 and incremental_negative = 0 then 'consider_candidate_route' when incremental_negative > incremental_positive then 'reject_for_topic_noise' else 'keep_disabled' end as recommendation from s""")
 def signal_incremental(spark, sf_dir):
     """A15."""
     x = table(spark, sf_dir, "lineitem").withColumns({"a": F.col("l_orderkey"), "b": F.col("l_orderkey") + F.col("l_linenumber")})

@@ -59,10 +59,11 @@ def authorship_checks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gold_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Pairs (a, b) with their verdict."""
+    """Pairs (a, b), ids without the prefix rw, with their verdict; the columns of classes may be missing."""
     rows = spark.read.csv(path, header=True)
-    a, b = F.trim("abstract_id_a"), F.trim("abstract_id_b")
-    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), gold_verdict(F.col("reviewed_verdict")).alias("verdict"))
+    a, b = (F.regexp_replace(F.trim(F.col(c)), "^rw", "") for c in ("abstract_id_a", "abstract_id_b"))
+    other = [F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("recommended_pair_class", "pair_class")]
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), gold_verdict(F.col("reviewed_verdict"), *other).alias("verdict"))
 
 
 def registry_cache(spark: SparkSession, path: str, now: str | None = None, days: int = 30) -> DataFrame:
