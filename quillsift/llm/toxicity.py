@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from quillsift.scratch import small_batches
 
 #: The bound on labelled rows that the fit reads.
-MAX_ROWS = 8_000
+MAX_ROWS = 10_000
 DIM = 1 << 18
 GRADES = 3
 LEAST, FOLDS = 3, 3
