@@ -70,23 +70,48 @@ def template_triggers(e: dict[str, Column]) -> Column:
     """X2's triggers of a pair: global, local in three ways, assay, short title."""
     local = (
         ((e["local_masked"] >= H.LOCAL_MASKED) & (e["local_original"] >= H.LOCAL_ORIGINAL))
-        | ((e["local_masked"] >= H.LOCAL_SEQUENCE) & (e["local_original"] >= H.LOCAL_ORIGINAL) & (e["shared_words"] >= H.TEMPLATE_WORDS))
+        | ((e["run_masked"] >= H.LOCAL_SEQUENCE) & (e["run_original"] >= H.LOCAL_ORIGINAL))
         | ((e["local_masked"] >= H.MODERATE_MASKED) & (e["local_original"] >= H.MODERATE_ORIGINAL) & (e["masked"] >= H.MODERATE_GLOBAL) & (e["shared_words"] >= H.MODERATE_WORDS))
     ) & (e["original"] >= H.LOCAL_GLOBAL_ORIGINAL)
-    return labels(
-        masked_skeleton=(e["masked"] >= H.TEMPLATE_MASKED) & (e["original"] >= H.TEMPLATE_ORIGINAL) & (e["substitutions"] >= 1),
-        local_substitution=local, assay_workflow=(e["rare_title"] >= 2) & (e["assays"] >= 5), short_title=e["short_title"],
+    whole = (e["original"] >= H.TEMPLATE_ORIGINAL) & ~e["methods_only"] & ((e["masked"] >= H.TEMPLATE_MASKED) | e["sections"])
+    return labels(masked_skeleton=whole, local_substitution=local, assay_workflow=e["assay"], short_title=e["short_title"])
+
+
+def section_scores(scores: Column) -> Column:
+    """Of a map label -> similarity the weighted mean of the labels that have a weight, the greatest of results and conclusions,
+    the labels alike enough, how many of those are results or conclusions, and whether methods alone are alike."""
+    named = F.map_entries(scores)
+    of = lambda word: F.filter(named, lambda s: F.contains(match_form(s["key"]), F.lit(word)))
+    parts = [(of(word), weight) for word, weight in H.SECTION_WEIGHTS.items()]
+    total = sum((F.size(v) * weight for v, weight in parts), F.lit(0.0))
+    hit = sum((F.aggregate(v, F.lit(0.0), lambda a, s: a + s["value"]) * weight for v, weight in parts), F.lit(0.0))
+    top = lambda v: F.coalesce(F.array_max(F.transform(v, lambda s: s["value"])), F.lit(0.0))
+    value = F.array_distinct(F.concat(of("result"), of("conclusion")))
+    alike = lambda v: F.filter(v, lambda s: s["value"] >= H.TEMPLATE_SECTION)
+    high = F.size(alike(value))
+    return F.struct(
+        F.when(total > 0, hit / total).otherwise(0.0).alias("weighted"), top(value).alias("high"), F.array_sort(F.transform(alike(named), lambda s: s["key"])).alias("matched"),
+        high.alias("n_high"), ((F.size(named) > 0) & (high == 0) & (top(of("method")) >= H.TEMPLATE_SECTION)).alias("methods_only"),
     )
 
 
-def section_score(left: Column, right: Column) -> Column:
-    """Weighted mean of section similarities, from two maps label -> (similarity is a third's business): maps of equal labels to scores."""
-    weights = F.create_map(*[x for k, v in H.SECTION_WEIGHTS.items() for x in (F.lit(k), F.lit(v))])
-    common = F.array_intersect(F.map_keys(left), F.map_keys(right))
-    weight = lambda k: F.coalesce(weights[k], F.lit(0.1))
-    total = F.aggregate(common, F.lit(0.0), lambda a, k: a + weight(k))
-    hit = F.aggregate(common, F.lit(0.0), lambda a, k: a + F.when(left[k] == right[k], weight(k)).otherwise(0.0))
-    return F.when(total > 0, hit / total).otherwise(0.0)
+def template_findings(pairs: DataFrame) -> DataFrame:
+    """X2's ladders over measured pairs: those with a trigger, with match type, confidence and severity."""
+    names = ("local_masked", "local_original", "run_masked", "run_original", "masked", "original", "shared_words", "assay", "short_title")
+    by_section = (F.col("v10.n_high") >= 2) & (F.col("v10.high") >= H.TEMPLATE_SECTION)
+    found = pairs.withColumn("triggers", template_triggers({n: F.col(n) for n in names} | {"methods_only": F.col("v10.methods_only"), "sections": by_section})).where(F.size("triggers") > 0)
+    local = F.array_contains("triggers", "local_substitution")
+    rung = template_confidence(F.col("masked"), F.col("original"), F.col("substitutions"), F.col("v10.high"))
+    sure = F.when(F.col("assay") | (local & (rung == "medium") & (F.col("local_masked") >= H.LOCAL_HIGH)), "high").otherwise(rung)
+    kind = (
+        F.when(F.col("masked") == 1.0, "exact_masked_skeleton").when(by_section, "shared_high_value_sections").when(local, "local_entity_substitution")
+        .when(F.col("assay"), "shared_assay_protocol").when(F.col("short_title"), "title_related_duplicate").otherwise("entity_value_substitution")
+    )
+    grave = F.when(F.col("expected"), "low").when(F.col("confidence").isin("very_high", "high") & (F.col("v10.high") >= 0.90), "high").otherwise("medium")
+    return found.withColumn("confidence", sure).select(
+        "a", "b", kind.alias("match_type"), "confidence", grave.alias("severity"), F.array_join("triggers", " | ").alias("triggers"), "masked", "original", "ngram", F.col("v10.weighted").alias("section_score"), F.col("v10.high").alias("high_section_score"),
+        F.array_join("v10.matched", " | ").alias("sections"), "substitutions", "changes", "local_masked", "local_original",
+    )
 
 
 def assay_signature(text: Column) -> Column:

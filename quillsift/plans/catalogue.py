@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillsift import thresholds as H
 from quillsift.functions import patterns as P
 from quillsift.functions import similarity, text
-from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, reuse, risk, rules
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, reuse, risk, rules, template
 from quillsift.sources import markup
 from quillsift.sources.tables import rule_id
 
@@ -307,14 +307,10 @@ def exact_text_reuse(spark, sf_dir):
 
 @query()
 def entity_template(spark, sf_dir):
-    """Masked and original similarity of candidate pairs with their confidence."""
+    """Pairs that are alike once their values are masked, with match type, confidence and severity."""
     f = entities.features(records(spark, sf_dir).select("id", "title", F.col("original").alias("text")))
-    f = f.select("id", "original", F.lower("skeleton").alias("skeleton"), "entities")
-    slim = f.select("id", "skeleton", text.match_form(F.col("original")).alias("form"), F.size("entities").alias("n"))
-    near = blocking.overlap_bound(blocking.ngram_pairs(slim), slim, "skeleton").where(F.col("bound") >= H.MODERATE_MASKED)
-    met = near.join(slim.select(F.col("id").alias("a"), F.col("skeleton").alias("x"), F.col("form").alias("fx"), F.col("n").alias("nx")), "a").join(slim.select(F.col("id").alias("b"), F.col("skeleton").alias("y"), F.col("form").alias("fy"), F.col("n").alias("ny")), "b").where("fx <> fy")
-    out = met.withColumn("masked", similarity.mutual_similarity("x", "y")).withColumn("original", similarity.mutual_similarity("fx", "fy")).where((F.col("masked") >= H.TEMPLATE_MASKED) & (F.col("original") >= H.TEMPLATE_ORIGINAL))
-    return out.select("a", "b", F.round("masked", 6).alias("masked"), F.round("original", 6).alias("original"), evidence.template_confidence(F.col("masked"), F.col("original"), F.abs(F.col("nx") - F.col("ny")), F.lit(0.0)).alias("confidence"))
+    found = template.entity_templates(f, lines(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 6) for c in ("masked", "original", "ngram", "section_score", "high_section_score", "local_masked", "local_original")})
 
 
 # Evidence, from columns of the order tables

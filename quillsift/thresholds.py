@@ -21,7 +21,7 @@ PERCENT_TOLERANCE = 1.0
 TEMPLATE_MASKED, TEMPLATE_ORIGINAL, TEMPLATE_WORDS, TEMPLATE_PLACEHOLDERS = 0.88, 0.55, 30, 0.35
 TEMPLATE_SECTION, LOCAL_MASKED, LOCAL_ORIGINAL, LOCAL_SEQUENCE = 0.88, 0.75, 0.60, 0.63
 MODERATE_MASKED, MODERATE_ORIGINAL, MODERATE_GLOBAL, MODERATE_WORDS = 0.63, 0.54, 0.27, 60
-LOCAL_GLOBAL_ORIGINAL, RARE_TITLE_DF = 0.20, 3
+LOCAL_GLOBAL_ORIGINAL, LOCAL_HIGH, RARE_TITLE_DF = 0.20, 0.85, 3
 SENTENCE_WORDS, BLOCK_WORDS, SENTENCE_DF, MEDIUM_COVERAGE, HIGH_COVERAGE, LONE_COVERAGE = 10, 30, 10, 0.15, 0.30, 0.40
 RARE_PHRASE_WORDS, RARE_PHRASE_DF, RARE_PHRASE_SIMILARITY = 10, 2, 0.57
 NONSENSE_TOKENS, SIGNATURE_BUCKET = 8, 20
