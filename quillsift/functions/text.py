@@ -35,9 +35,12 @@ def feature_sentences(x: Column) -> Column:
 
 def label(x: Column) -> Column:
     """A section label without outer punctuation, each word capitalised, joining words in lower case."""
-    titled = F.initcap(F.regexp_replace(F.regexp_replace(squeeze(x), r"^[:\-. ]+|[:\-. ]+$", ""), " +", " "))
-    small = ("and", "of", "the", "in", "for", "to", "with")
-    return F.array_join(F.transform(F.split(titled, " "), lambda w, i: F.when((i > 0) & F.lower(w).isin(*small), F.lower(w)).otherwise(w)), " ")
+    bare = F.regexp_replace(F.regexp_replace(squeeze(x), r"^[:\-. ]+|[:\-. ]+$", ""), " +", " ")
+    cut = F.regexp_replace(bare, r"(?<=[^\p{L} ])(?=\p{L})", "\u0001 ")  # a word begins after any sign that is no letter
+    titled = F.replace(F.initcap(cut), F.lit("\u0001 "), F.lit(""))
+    for word in ("And", "Of", "In", "On", "For", "With", "To"):
+        titled = F.replace(titled, F.lit(f" {word} "), F.lit(f" {word.lower()} "))
+    return titled
 
 
 def first_nonempty(*xs: Column) -> Column:

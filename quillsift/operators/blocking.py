@@ -6,12 +6,13 @@ route is approximate, and becomes a star about its least id where it is exact. A
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsift import thresholds as H
 from quillsift.functions import patterns as P
 from quillsift.functions.text import entity_shape, let, match_form, shingles, tokens
+from quillsift.operators.numbering import numbered
 
 PAIR = ["a", "b"]
 
@@ -141,7 +142,7 @@ def routed_pairs(records: DataFrame, sections: DataFrame) -> DataFrame:
 
 def candidate_slice(pairs: DataFrame, start: int, stop: int) -> DataFrame:
     """Pairs from ``start`` to ``stop`` in sorted order."""
-    return pairs.withColumn("r", F.row_number().over(Window.orderBy(*PAIR)) - 1).where(F.col("r").between(start, stop - 1)).drop("r")
+    return numbered(pairs, "r", *map(F.col, PAIR)).where(F.col("r").between(start + 1, stop)).drop("r")
 
 
 def shared_block_pairs(records: DataFrame, text: str = "original", words: int = H.SHARED_BLOCK_WORDS) -> DataFrame:

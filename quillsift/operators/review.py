@@ -96,21 +96,41 @@ def discover(records: DataFrame, client: Callable[[], Callable[[list[tuple[str,
     return records.select("id", "text").mapInPandas(run, HIT)
 
 
+def _preference(hit) -> tuple:
+    return {"known": 0, "semantic": 1, "novel": 2}.get(hit.source, 3), -hit.confidence, getattr(hit, "rule_id", None) or "", hit.category
+
+
+def _renamed(hit, known) -> bool:
+    """Whether a hit is a strong known one under another category: they overlap, and what lies outside has no letter or digit."""
+    if hit.category == known.category or not (hit.start < known.stop and known.start < hit.stop):
+        return False
+    text, lo, hi = getattr(hit, "matched_text", None) or "", max(hit.start, known.start) - hit.start, min(hit.stop, known.stop) - hit.start
+    return not any(c.isalnum() for c in text[:lo] + text[hi:])
+
+
 def fuse(hits: DataFrame) -> DataFrame:
-    """L3: of hits (id, section, block, category, start, stop, source, confidence) that overlap in one block and category the preferred stays: known, then semantic, then novel; the surer; the earlier."""
+    """L3: of hits (id, section, block, category, start, stop, source, confidence) that overlap in one block and category the preferred
+    stays: known, then semantic, then novel; the surer; the first by rule. With signal_level, hits that no rule knows go where they only
+    rename a strong known one (matched_text tells what they add). Sections are the same whatever their case."""
     schema = hits.schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = pdf.assign(r=pdf["source"].map({"known": 0, "semantic": 1, "novel": 2}).fillna(3), c=-pdf["confidence"]).sort_values(["r", "c", "start", "stop"])
-        kept: list[tuple[int, int]] = []
-        use = []
-        for i, s, e in zip(order.index, order["start"], order["stop"], strict=True):
-            if not any(s < b and a < e for a, b in kept):
-                kept.append((s, e))
-                use.append(i)
-        return pdf.loc[sorted(use)]
-
-    return hits.groupBy("id", "section", "block", "category").applyInPandas(run, schema)
+        keys = [c for c in ("start", "stop", "category", "rule_id") if c in pdf.columns]
+        rows = list(pdf.sort_values(keys, kind="stable").itertuples())
+        strong = [r for r in rows if r.source == "known" and getattr(r, "signal_level", None) == "strong"]
+        kept: list = []
+        for r in rows:
+            if r.source != "known" and any(_renamed(r, k) for k in strong):
+                continue
+            met = [n for n, k in enumerate(kept) if k.category == r.category and k.start < r.stop and r.start < k.stop]
+            best = min(met, key=lambda n: _preference(kept[n]), default=None)
+            if best is None:
+                kept.append(r)
+            elif _preference(r) < _preference(kept[best]):
+                kept[best] = r
+        return pdf.loc[sorted(r.Index for r in kept)]
+
+    return hits.groupBy("id", F.lower("section").alias("_section"), "block").applyInPandas(run, schema)
 
 
 def validated(findings: DataFrame, results: DataFrame) -> DataFrame:

@@ -447,7 +447,7 @@ def tortured_phrase_hits(spark, sf_dir):
     b = table(spark, sf_dir, "benchmark").select(text.tokens(F.col("text")).alias("w")).where(F.size("w") > 2).select(F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("p")).distinct()
     dictionary = b.select(rule_id(F.col("p"), F.lit("")).alias("rule_id"), F.concat(F.lit('"'), "p", F.lit('"')).alias("query"), "p")
     fields = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("abstract").alias("field"), text.match_form(F.col("text")).alias("text"))
-    return phrases.phrase_hits(fields, dictionary).join(dictionary.select("rule_id", F.col("p").alias("phrase")), "rule_id").select("id", "phrase")
+    return phrases.phrase_hits(fields, dictionary).join(dictionary.select("rule_id", F.col("p").alias("phrase")), "rule_id").select("id", "phrase").distinct()
 
 
 def _claims(spark, sf_dir) -> DataFrame:

@@ -63,8 +63,10 @@ def _first(node, *names: str):
 
 def canonical(text: str) -> str:
     """A heading as shown."""
-    words = squeeze(text).strip(":-. ").split(" ")
-    return " ".join(w.lower() if i and w.lower() in ("and", "of", "the", "in", "for", "to", "with") else w.title() for i, w in enumerate(words))
+    shown = squeeze(text).strip(":-. ").title()
+    for word in ("And", "Of", "In", "On", "For", "With", "To"):
+        shown = shown.replace(f" {word} ", f" {word.lower()} ")
+    return shown
 
 
 def divide(text: str, fallback: str = "Abstract") -> list[tuple[str, str]]:

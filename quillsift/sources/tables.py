@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StructType
 
 from quillsift.functions import patterns as P
 from quillsift.functions.text import doi, match_form
@@ -113,6 +113,25 @@ def write_csv(df: DataFrame, path: str) -> None:
     flat(df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _in_order(x: Column, kind: DataType) -> Column:
+    """``x`` with the keys of all its objects in order; nulls stay."""
+    if isinstance(kind, StructType):
+        named = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(x.isNotNull(), F.struct(*[_in_order(x[f.name], f.dataType).alias(f.name) for f in named])) if named else x
+    if isinstance(kind, ArrayType):
+        return F.transform(x, lambda e: _in_order(e, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.array_sort(F.transform(F.map_keys(x), lambda k: F.struct(k.alias("k"))))
+        return F.map_from_arrays(F.transform(entries, lambda e: e["k"]), F.transform(entries, lambda e: _in_order(F.element_at(x, e["k"]), kind.valueType)))
+    return x
+
+
+def json_lines(df: DataFrame) -> DataFrame:
+    """K2: value: a JSON object for each row, keys in order at every depth, nulls written as such."""
+    fields = [_in_order(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in sorted(df.schema.fields, key=lambda f: f.name)]
+    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """K2: one object a line, keys in order."""
-    df.select(*sorted(df.columns)).write.mode("overwrite").json(path)
+    """K2: one object a line."""
+    json_lines(df).write.mode("overwrite").text(path)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsift.functions import sentences, similarity, text
-from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, report, review, risk, rules
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, numbering, phrases, report, review, risk, rules
 from quillsift.plans import catalogue, pipeline
 from quillsift.sources import markup, tables
 
@@ -301,3 +301,67 @@ def test_streams(spark, tmp_path):
     q = ingest.traces(stream).writeStream.format("memory").queryName("hits").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("hits").count() == 1
+
+
+def test_numbers_in_order(spark):
+    rows = spark.createDataFrame([(k * 7 % 101, k % 3) for k in range(101)], "id long, g int")
+    got = numbering.numbered(rows.repartition(7), "n", F.desc("g"), F.asc("id")).orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(1, 102)) and [(r["g"], r["id"]) for r in got] == sorted(((r["g"], r["id"]) for r in got), key=lambda x: (-x[0], x[1]))
+    assert numbering.numbered(rows.limit(0), "n", F.asc("id")).count() == 0
+    rolled = spark.createDataFrame([(k, ("High", "Low")[k % 2], "low", k) for k in range(9)], "id long, risk string, worst_severity string, n_active long")
+    assert {(r["risk"], r["place"], r["id"]) for r in risk.risk_queue(rolled).collect()} == {("High", 5 - k, 2 * k) for k in range(5)} | {("Low", 4 - k, 2 * k + 1) for k in range(4)}
+    found = spark.createDataFrame([(2, "design", "low", "b"), (1, "trial", "low", "c"), (1, "design", "medium", "d"), (1, "design", "high", "d")], "id long, check_type string, severity string, finding_type string")
+    assert [tuple(r)[:3] for r in risk.number_findings(found).orderBy("finding_id").collect()] == [(1, "design", "high"), (1, "design", "medium"), (1, "trial", "low"), (2, "design", "low")]
+
+
+def test_trace_places(spark):
+    said = "As an AI language model, I cannot verify this."
+    rows = [(1, "x", f"We did it. {said} It ended."), (2, "x", f'They wrote "{said}" there.'), (3, "x", f"> {said}"), (4, "x", f"{said} Then again: {said}"), (5, "x", f"No end {said[:-1]}")]
+    hits = {}
+    for r in rules.trace_hits(spark.createDataFrame(rows, "id long, section string, text string")).where("rule_id = 'LLM-001'").collect():
+        assert dict((k, t) for k, _, t in rows)[r["id"]][r["start"] : r["stop"]] == r["matched_text"]
+        hits.setdefault(r["id"], []).append(r)
+    assert (hits[1][0]["sentence"], hits[1][0]["previous_sentence"], hits[1][0]["next_sentence"], hits[1][0]["quotation"]) == (said, "We did it.", "It ended.", "not_quoted")
+    assert hits[2][0]["quotation"] == "quoted" and hits[2][0]["requires_validation"] and hits[3][0]["quotation"] == "blockquote"
+    assert len({r["start"] for r in hits[4]}) == len(hits[4]) == 2 and hits[5][0]["sentence"] == rows[4][2]
+
+
+def test_every_phrase(spark):
+    dictionary = spark.createDataFrame([("1", '"bosom peril"'), ("2", '"peril growth"~2')], "rule_id string, query string")
+    texts = [(1, "a", "Bosom peril and bosom-peril. Growth of a peril; peril growth here.")]
+    got = sorted((r["rule_id"], r["start"], r["matched_text"]) for r in phrases.phrase_hits(spark.createDataFrame(texts, "id long, field string, text string"), dictionary).collect())
+    assert got == [("1", 0, "Bosom peril"), ("1", 16, "bosom-peril"), ("2", 29, "Growth of a peril"), ("2", 48, "peril growth")]
+
+
+def test_design_parts(spark):
+    made = [
+        ("The open-label extension phase followed a double-blind treatment period.", set()),
+        ("This open-label study was a subgroup analysis. The work was double-blind.", set()),
+        ("The primary study was open-label. The study was double-blind.", {"open_label_vs_blinded"}),
+        ("The discovery cohort was open-label, and the validation cohort was double-blind.", set()),
+    ]
+    rows = [(k, n, "Methods", s if s.endswith(".") else s + ".") for k, (t, _) in enumerate(made) for n, s in enumerate(t.split(". "))]
+    got = {}
+    for r in rules.design_contradictions(rules.design_claims(spark.createDataFrame(rows, "id long, seq long, section string, sentence string"))).collect():
+        got.setdefault(r["id"], set()).add(r["contradiction"])
+    assert [got.get(k, set()) for k in range(len(made))] == [w for _, w in made]
+
+
+def test_renamed_hits_go(spark):
+    schema = "id long, section string, block long, category string, start int, stop int, source string, confidence double, signal_level string, matched_text string"
+    rows = [(1, "S", 0, "a", 5, 10, "known", 0.5, "strong", "abcde"), (1, "s", 0, "b", 4, 11, "semantic", 0.9, None, " abcde."), (1, "s", 0, "b", 5, 14, "novel", 0.9, None, "abcde fgh"), (1, "s", 1, "b", 5, 10, "novel", 0.9, None, "abcde")]
+    assert {(r["block"], r["source"]) for r in review.fuse(spark.createDataFrame(rows, schema)).collect()} == {(0, "known"), (0, "novel"), (1, "novel")}
+
+
+def test_labels_lines_reasons(spark):
+    for given in ("ANTI-TUMOUR effects of the drug on cells", "patient's view", "phase 2b and 3x:"):
+        want = given.rstrip(":").title()
+        for w in ("And", "Of", "In", "On", "For", "With", "To"):
+            want = want.replace(f" {w} ", f" {w.lower()} ")
+        assert one(spark, text.label(F.col("a")), a=given) == want
+    nested = spark.sql("select named_struct('z', 1, 'a', array(named_struct('y', null, 'b', 'ä'))) as q, map('k', 1, 'c', 2) as m, cast(null as int) as a")
+    assert tables.json_lines(nested).first()["value"] == '{"a":null,"m":{"c":2,"k":1},"q":{"a":[{"b":"ä","y":null}],"z":1}}'
+    row = spark.createDataFrame([(["entity_normalized_template"],), (["rare_exact_phrase"],), (["title_template"],), ([],), (None,)], "s array<string>")
+    shares = [F.lit(x) for x in (0.125, 0.375, 0.9, 0.5)]
+    got = [r[0] for r in row.select(risk.template_reason(F.col("s"), F.lit("B"), F.lit(True), *shares, F.lit("Results"))).collect()]
+    assert got == ["38% shared structure with B once biomedical entities are normalized (12% shared original text), same author group.", "12% shared text with B, same author group.", "90% shared title structure with B, same author group.", "50% shared structure in the results section with B, same author group.", "50% shared structure in the results section with B, same author group."]
