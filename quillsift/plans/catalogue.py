@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillsift import thresholds as H
 from quillsift.functions import patterns as P
 from quillsift.functions import similarity, text
-from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, reuse, risk, rules, template
+from quillsift.operators import blocking, entities, evaluate, evidence, graph, phrases, report, reuse, risk, rules, template
 from quillsift.sources import markup
 from quillsift.sources.tables import rule_id
 
@@ -679,3 +679,45 @@ def screening_risks(spark, sf_dir):
 
     r = records(spark, sf_dir).select("id", "title", F.col("original").alias("text"), F.lit("parsed").alias("parse_status"))
     return screen(r, lines(spark, sf_dir)).records
+
+
+# Reports
+
+
+@query("""select o_custkey as id, o_orderpriority as check_type, o_orderstatus as severity, o_orderkey::varchar as evidence,
+format('FND-{:05d}', row_number() over (order by o_custkey, o_orderpriority, o_orderstatus, o_orderkey::varchar)) as finding_id from orders""")
+def finding_numbers(spark, sf_dir):
+    """A6."""
+    o = table(spark, sf_dir, "orders")
+    return risk.number_findings(o.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("check_type"), F.col("o_orderstatus").alias("severity"), F.col("o_orderkey").cast("string").alias("evidence")))
+
+
+@query("""with x as (select *, o_orderkey % 6 as k, round_even(o_custkey % 200 / 200.0::double * 100, 0)::bigint || '%' as p, round_even(o_orderkey % 200 / 200.0::double * 100, 0)::bigint || '%' as q,
+'B' || o_custkey as m, case when o_orderstatus = 'O' then ', same author group.' else ', different author group.' end as g from orders)
+select o_orderkey, case k when 0 then p || ' shared text with ' || m when 1 then q || ' shared structure with ' || m || ' once biomedical entities are normalized (' || p || ' shared original text)'
+ when 2 then q || ' shared title structure with ' || m when 3 then case when o_custkey % 200 > 0 then p || ' shared structure in the results section with ' || m else 'Strong template reuse detected with ' || m end else 'Strong template reuse detected with ' || m end || g as reason from x""")
+def template_reasons(spark, sf_dir):
+    """An order's number decides on its signal, the shares come from numbers."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 6
+    signals = F.array(F.when(k == 0, "rare_exact_phrase").when(k == 1, "entity_normalized_template").when(k == 2, "title_template").otherwise("masked_body"))
+    share = lambda c: (F.col(c) % 200) / F.lit(200.0)
+    matched, same = F.concat(F.lit("B"), F.col("o_custkey").cast("string")), F.col("o_orderstatus") == "O"
+    reason = risk.template_reason(signals, matched, same, share("o_custkey"), share("o_orderkey"), share("o_orderkey"), F.when(k == 3, share("o_custkey")), F.when(k == 3, "Results"))
+    return o.select("o_orderkey", reason.alias("reason"))
+
+
+@query("""select o_custkey as abstract_id, case max(case o_orderstatus when 'F' then 2 when 'P' then 1 else 0 end) when 2 then 'High' when 1 then 'Medium' else 'Low' end as risk,
+count_if(o_orderstatus = 'F') as high, count_if(o_orderstatus = 'P') as medium, count_if(o_orderstatus = 'O') as low from orders group by 1""")
+def authorship_levels(spark, sf_dir):
+    """An order is a check of its customer."""
+    level = F.when(F.col("o_orderstatus") == "F", "High").when(F.col("o_orderstatus") == "P", "medium").otherwise("LOW")
+    return report.authorship_summary(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("abstract_id"), level.alias("level")))
+
+
+@query("""select o_orderkey as id, o_orderpriority as check_type, o_orderstatus as finding_type, 'reader ' || o_custkey % 3 as validated_by, 'confirmed' as status from orders where o_custkey % 3 > 0""")
+def validated_findings(spark, sf_dir):
+    """A19."""
+    by = F.when(F.col("o_custkey") % 3 > 0, F.concat(F.lit("reader "), (F.col("o_custkey") % 3).cast("string"))).when(F.col("o_orderkey") % 2 == 0, " ")
+    found = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("check_type"), F.col("o_orderstatus").alias("finding_type"), by.alias("validated_by"), F.lit("confirmed").alias("status"))
+    return report.validation_rows(found)
