@@ -18,7 +18,7 @@ Inside a meeting place every set is paired with the least one only. Then, where
 several components, each meets a few drawn members of other components, and what is still apart meets all others. So no link
 between components is lost, and a group of n near copies costs about n pairs.
 
-A pair is verified on the whole texts only if its parity sketches allow it: each shingle flips one of the ``2 ** k`` bits of its
+A pair becomes a row, and is verified on the whole texts, only if its parity sketches allow it: each shingle flips one of the ``2 ** k`` bits of its
 set's sketch, so the bits in which two sketches differ are at most the shingles in which the sets differ. With ``WIDTH`` bits
 a difference that links may have, few pairs pass that do not link, and none that link are lost.
 
@@ -262,15 +262,25 @@ def _mixed(places: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(ends, "sig")
 
 
-def _drawn(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of different components: each set with ``DRAWS`` times two members, drawn anew in each place."""
+def _drawn(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (with size, vec) of different components that may link: each set with ``DRAWS`` times two members,
+    drawn anew in each place. Those that the sketches rule out never become rows."""
     ends = []
     for k in range(DRAWS):
-        row = F.struct(F.xxhash64("id", "sig", F.lit(k)).alias("h"), "id", "comp")
+        row = F.struct(F.xxhash64("id", "sig", F.lit(k)).alias("h"), "id", "comp", "size", "vec")
         ends += [F.min(row).alias(f"lo{k}"), F.max(row).alias(f"hi{k}")]
-    chosen = mixed.groupBy("sig").agg(*ends).select("sig", F.array(*[F.col(f"{e}{k}") for k in range(DRAWS) for e in ("lo", "hi")]).alias("chosen"))
-    met = mixed.where("comp <> lo").join(chosen, "sig").select("id", F.explode(F.expr("filter(chosen, x -> x.comp <> comp)")).alias("x"))
-    return met.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()
+    drawn = F.array_distinct(F.array(*[F.col(f"{e}{k}").dropFields("h") for k in range(DRAWS) for e in ("lo", "hi")]))
+    chosen = mixed.groupBy("sig").agg(*ends).select("sig", drawn.alias("chosen"))
+    met = mixed.where("comp <> lo").withColumn("me", F.struct("size", "vec")).join(chosen, "sig")
+    met = met.select("id", F.explode(F.expr(f"transform(filter(chosen, x -> x.comp <> comp and {_allowed('x', 'me', percent)}), x -> x.id)")).alias("x"))
+    return met.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
+
+
+def _stars(places: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a place's center and each other member (with size, vec) that may link with it."""
+    hubs = places.where("id = center").select("sig", F.struct("size", "vec").alias("v"))
+    others = places.where("id <> center").select("sig", "id", "center", F.struct("size", "vec").alias("u"))
+    return others.join(hubs, (others["sig"] == hubs["sig"]) & F.expr(_allowed("u", "v", percent))).select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _core(slim: DataFrame, n: int, percent: int) -> DataFrame:
@@ -304,17 +314,13 @@ def _core(slim: DataFrame, n: int, percent: int) -> DataFrame:
     wanted = places.select(F.col("id").alias("doc_id")).distinct()
     sizes = staged(known.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "vec").dropDuplicates(["id"]), "jaccard-sketches")
 
-    def near(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sizes.select(F.col("id").alias("a"), F.struct("size", "vec").alias("u")), "a").join(sizes.select(F.col("id").alias("b"), F.struct("size", "vec").alias("v")), "b")
-        return both.where(_allowed("u", "v", percent)).select("a", "b")
-
-    stars = staged(near(places.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()), "jaccard-stars")
+    stars = staged(_stars(places.join(sizes, "id"), percent), "jaccard-stars")
     texts = staged(slim.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "jaccard-texts")
     sure = staged(linked(stars, texts, n, percent), "jaccard-links")
     labels = staged(components(sure), "jaccard-labels")
 
     mixed = staged(_mixed(places, labels), "jaccard-mixed")
-    some = staged(linked(near(_drawn(mixed)), texts, n, percent), "jaccard-some")
+    some = staged(linked(_drawn(mixed.join(sizes, "id"), percent), texts, n, percent), "jaccard-some")
     if some.head(1):
         sure = sure.unionByName(some)
         labels = staged(components(sure), "jaccard-labels")

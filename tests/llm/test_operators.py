@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -223,6 +224,39 @@ def test_sketches_allow_every_link(spark):
     assert len({len(x["x"]) != len(x["y"]) for x in got}) == 2
 
 
+def rows_of_pairs(spark, run):
+    """Rows that joins by a pair's ends and the listing of drawn members put out while ``run`` goes, as Spark counts them."""
+    store, found = spark._jsparkSession.sharedState().statusStore(), 0
+    before = {e.executionId() for e in (store.executionsList().apply(k) for k in range(store.executionsList().size()))}
+    run()
+    done = store.executionsList()
+    for k in range(done.size()):
+        if (number := done.apply(k).executionId()) not in before:
+            nodes, values = store.planGraph(number).allNodes(), store.executionMetrics(number)
+            for j in range(nodes.size()):
+                if (node := nodes.apply(j)).name().startswith("Generate") or "Join" in node.name() and re.search(r"\[[ab]#\d+L?\]", node.desc()):
+                    for i in range(node.metrics().size()):
+                        if (metric := node.metrics().apply(i)).name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                            found += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return found
+
+
+def test_jaccard_pairs_do_not_grow_with_a_group_that_does_not_link(spark):
+    """A hundred and more texts share most of their words, too few to link, and a few near copies are among them."""
+    passage, made = words(900, 150), []
+    for n in (60, 180):
+        rows = [(k, passage + " " + words(1000 + k, 60)) for k in range(n)]
+        rows += [(n + k, rows[5 * k][1] + " end") for k in range(4)]
+        got = {}
+
+        def run():
+            got.update((r["doc_id"], (r["n_shingles"], r["component_id"])) for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect())
+
+        made.append(rows_of_pairs(spark, run))
+        assert got == linked_by_hand(rows, 5, 80)
+    assert made[1] <= 180
+
+
 def test_jaccard_repeated_ids(spark):
     """A doc_id with several texts is one node: links of each of its texts count."""
     t = [words(700 + k, 60) for k in range(4)]
