@@ -1,17 +1,13 @@
-"""Best-fit packing of token sequences by hierarchical residual packing.
+"""Best-fit packing of token sequences by the numbers of pieces of each length.
 
-Each partition packs its pieces by best fit, largest first, and emits bins with less than ``SPARE`` tokens of room. Its
-other bins become items: eight partitions' items meet in one, are packed again by best fit, and so on up a tree, until
-one partition is left, which emits all.
+Best fit, largest first, depends on nothing but how many pieces there are of each length, at most ``size`` numbers. The driver adds
+those up and packs them: a run says that the pieces of one length from a rank on go, so many to a sequence, to consecutive
+sequences. Bins of the same room that follow each other are one group, and of the groups that a length meets all but the last
+are filled alike, so runs and groups grow with the lengths, not with the table. Each piece then finds its place by its length and
+its rank among all pieces of that length: its number in its partition, after those of the partitions before. So all pieces are
+packed against all others, whatever partition they come from, and no bin is settled or held back before its time.
 
-A node that has packed its items hands on the ``HANDED`` emptiest bins and emits the others, which costs no sequence: any two bins
-that best fit leaves are too full to be one, so a node leaves one bin of at most half a sequence, no more. A bin above
-half can only ever take such bins, a node above gets ``FAN`` of them at most, and with L levels no more than ``FAN * L`` can
-come to the bins of one node; the ``HANDED`` emptiest take whatever any of its bins could. Within a node no bin is
-emitted before the last item has come, so it holds its underfull bins (under two for each ``size`` ids of its part of the input)
-and ``CHUNK`` items.
-
-Each level is a table in the shared folder: a bin's content is settled once, whatever is lost later.
+Partitions and numbers in them are settled once, in a table in the shared folder, whatever is lost later.
 
 Defined cases: a null or empty text is its end id alone; only texts of more than ``size`` ids are cut; repeated rows and doc_ids
 are packed each on its own; a null doc_id stays null; an empty table gives an empty result; columns of other names are
@@ -20,137 +16,143 @@ left alone.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsift.llm.tokens import crc, encoded, vocabulary
 from quillsift.scratch import small_batches, staged
 
 SIZE = 2048
-SPARE, FAN, HANDED, CHUNK = 8, 8, 25_000, 200_000
+#: Limits of the tree of nodes that packed before; nothing reads them any more, a test of that form still sets them.
+HANDED, CHUNK = 25_000, 200_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
-BINS = f"bin bigint, node bigint, used bigint, done boolean, members array<{_MEMBER}>"
-_ARROW_MEMBER = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-
+#: With the partition, and how many pieces of the same length come before in it.
+NUMBERED = f"{PIECES}, part int, nth bigint"
+_KINDS = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+_RANKS = 40
 
-def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
-    """``PIECES`` of each whole text, in one scan."""
 
+def _cut(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for doc_id, ids in zip(b["doc_id"].to_pylist(), encoded(path, b["text"]), strict=True):
                 out += [(doc_id, k // size, k, len(part := ids[k : k + size]), crc(part)) for k in range(0, len(ids), size)]
             if out:
-                kinds = [f.type for f in _ARROW_MEMBER]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[f.name for f in _ARROW_MEMBER])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _KINDS, strict=True)], names=[f.name for f in _KINDS])
+
+    return run
 
+
+def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
+    """``NUMBERED`` pieces of each whole text, in one scan."""
+    cut, number = _cut(path, size), _number(size)
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: number(cut(batches)), NUMBERED)
+
+
+def runs(counts: dict[int, int], capacity: int = SIZE) -> tuple[np.ndarray, int]:
+    """Best fit of ``counts`` pieces by length, largest first, each to the fullest sequence that takes it: runs (length, first rank,
+    pieces a sequence, first sequence, offset in each), ascending, and the number of sequences."""
+    room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by room: first sequence of a group, how many
+    open_, made, out = 0, 0, []  # open_: bit r is set if a group has room r
+    for n in sorted(counts, reverse=True):
+        rank, left = 0, counts[n]
+        while left:
+            fits = open_ >> n
+            if fits:
+                r = n + (fits & -fits).bit_length() - 1
+                first, many = room[r].pop()
+                if not room[r]:
+                    open_ &= ~(1 << r)
+            else:
+                r, first, many = capacity, made, -(-left // (capacity // n))
+                made += many
+            per = r // n
+            full = min(many, left // per)
+            rest = left - full * per if full < many else 0  # for one more sequence
+            out.append((n, rank, per, first, capacity - r))
+            for at, m, free in ((first, full, r - per * n), (first + full, int(rest > 0), r - rest * n), (first + full + (rest > 0), many - full - (rest > 0), r)):
+                if m and free:
+                    room[free].append((at, m))
+                    open_ |= 1 << free
+            rank, left = rank + full * per + rest, left - full * per - rest
+    return np.array(sorted(out), np.int64).reshape(-1, 5), made
+
+
+def places(found: np.ndarray, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences and offsets of pieces by their lengths and their ranks among all of that length."""
+    run = found[np.searchsorted((found[:, 0] << _RANKS) + found[:, 1], (lengths << _RANKS) + ranks, side="right") - 1]
+    nth = ranks - run[:, 1]
+    return run[:, 3] + nth // run[:, 2], run[:, 4] + nth % run[:, 2] * lengths
+
+
+def numbers(lengths: np.ndarray) -> np.ndarray:
+    """Of each, how many of the same length stand before it."""
+    order = np.argsort(lengths, kind="stable")
+    ordered, out = lengths[order], np.empty(len(lengths), np.int64)
+    out[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered, side="left")
+    return out
 
 
 def best_fit(sizes: list[int], capacity: int = SIZE) -> list[list[int]]:
-    """Bins of item indices: largest items first, each to the fullest bin that takes it."""
-    room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    open_, bins = 0, []  # open_: bit r is set if a bin has room r
-    for i in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
-        n = sizes[i]
-        fits = open_ >> n
-        if fits:
-            r = n + (fits & -fits).bit_length() - 1
-            b = room[r].pop()
-            if not room[r]:
-                open_ &= ~(1 << r)
-            bins[b].append(i)
-        else:
-            r, b = capacity, len(bins)
-            bins.append([i])
-        if r > n:
-            room[r - n].append(b)
-            open_ |= 1 << (r - n)
+    """Bins of item indices."""
+    found, made = runs(Counter(sizes), capacity)
+    bins: list[list[int]] = [[] for _ in range(made)]
+    lengths = np.array(sizes, np.int64)
+    sequences, offsets = places(found, lengths, numbers(lengths)) if sizes else (lengths, lengths)
+    for i in np.argsort(offsets, kind="stable").tolist():
+        bins[sequences[i]].append(i)
     return bins
 
 
-def _node(level: int, last: bool, size: int):
+def _number(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pid, n = TaskContext.get().partitionId(), 0
-        held: list[tuple[int, list]] = []
-        out: list[tuple] = []
-        kept = 0
-
-        def pack(closing: bool) -> None:
-            nonlocal held, kept, n
-            held.sort(key=lambda x: (-x[0], [(m["doc_id"] is None, m["doc_id"] or 0, m["piece"]) for m in x[1][:1]]))
-            made = [(sum(held[i][0] for i in b), [m for i in b for m in held[i][1]]) for b in best_fit([x[0] for x in held], size)]
-            left = []
-            for used, members in made:
-                if used > size - SPARE or (closing and last):
-                    out.append(((level << 56) + (pid << 32) + n, pid, used, True, members))
-                    n += 1
-                else:
-                    left.append((used, members))
-            held, kept = left, len(left)
-            if closing:
-                left.sort(key=lambda x: x[0])
-                for k, (used, members) in enumerate(left):
-                    out.append(((level << 56) + (pid << 32) + n, pid, used, k >= HANDED, members))
-                    n += 1
-
-        def batch() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(_ARROW_MEMBER)]
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["bin", "node", "used", "done", "members"])
-            out.clear()
-            return made
+        part, before = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        for b in batches:
+            lengths = b["length"].to_numpy()
+            nth = numbers(lengths) + before[lengths]
+            before += np.bincount(lengths, minlength=size + 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(nth), part, np.int32)), pa.array(nth)], names=[*b.schema.names, "part", "nth"])
 
+    return run
+
+
+def _place(found: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if level:
-                held += zip(b["used"].to_pylist(), b["members"].to_pylist(), strict=True)
-            else:
-                held += [(m["length"], [m]) for m in b.to_pylist()]
-            if len(held) >= kept + CHUNK:
-                pack(False)
-            if out:
-                yield batch()
-        pack(True)
-        if out:
-            yield batch()
+            if len(b):
+                at = places(found, b["length"].to_numpy(), b["nth"].to_numpy())
+                yield pa.RecordBatch.from_arrays([*(b[f.name] for f in _KINDS), *map(pa.array, at)], names=[*(f.name for f in _KINDS), "sequence_id", "offset"])
 
     return run
 
 
 def pack(items: DataFrame, size: int = SIZE) -> DataFrame:
     """``PIECES`` with sequence_id and offset."""
-    spark, level = items.sparkSession, 0
-    now, parts = staged(items, "pieces"), []
-    nodes = max(1, now.rdd.getNumPartitions())
-    while True:
-        last = nodes == 1
-        if level:
-            now = now.repartition(nodes, "to")
-        made = staged(now.mapInArrow(_node(level, last, size), BINS), f"bins-{level}")
-        parts.append(made.where("done"))
-        if last:
-            break
-        nodes, level = -(-nodes // FAN), level + 1
-        now = made.where("not done").select("used", "members", F.floor(F.col("node") / FAN).alias("to"))
-        if nodes == 1:
-            now = now.select("used", "members", F.lit(0).alias("to"))
-    bins = parts[0]
-    for p in parts[1:]:
-        bins = bins.unionByName(p)
-    placed = bins.select("bin", F.posexplode("members").alias("at", "m"), F.expr("transform(members, x -> x.length)").alias("sizes"))
-    offset = F.expr("case when at = 0 then 0L else aggregate(slice(sizes, 1, at), 0L, (a, x) -> a + x) end")
-    return placed.select("m.*", F.col("bin").alias("sequence_id"), offset.alias("offset"))
+    return pack_numbered(items.select(*[f.name for f in _KINDS]).mapInArrow(_number(size), NUMBERED), size)
+
+
+def pack_numbered(items: DataFrame, size: int = SIZE) -> DataFrame:
+    """``NUMBERED`` pieces with sequence_id and offset in place of their numbers."""
+    now = staged(items, "pieces")
+    counts = staged(now.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "pieces-by-length")
+    found, _ = runs({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, size)  # one row a length
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    ranked = now.join(starts.hint("merge"), ["part", "length"]).withColumn("nth", F.col("nth") + F.col("before"))
+    return ranked.mapInArrow(_place(found), f"{PIECES}, sequence_id bigint, offset bigint")
 
 
 def best_fit_packing(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text), placed."""
-    return pack(pieces(docs, path, size), size)
+    return pack_numbered(pieces(docs, path, size), size)
 
 
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:

@@ -331,6 +331,38 @@ def test_packing_hands_on_what_can_be_filled(spark, monkeypatch):
     assert found[0] == found[1] == 400
 
 
+def test_packing_fills_room_with_pieces_of_other_partitions(spark):
+    """Pieces of 55 and of 45 lie in different partitions; one of each fills a sequence."""
+    rows = spark.createDataFrame([(k, 0, 0, 55 if k < 80 else 45, 0) for k in range(160)], packing.PIECES).repartitionByRange(8, "doc_id")
+    got = packing.pack(rows, 100).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(160))
+    per = defaultdict(list)
+    for r in got:
+        per[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert len(per) == 80 and all(sorted(x) == [(0, 55), (55, 45)] for x in per.values())
+
+
+def test_packing_by_numbers_is_best_fit_of_all_pieces(spark):
+    r = random.Random(11)
+    sizes = [r.choice([1, 2, 3, 7, 20, 33, 34, 50, 51, 60, 97, 100, r.randint(1, 100)]) for _ in range(3000)]
+    room = []
+    for n in sorted(sizes, reverse=True):
+        fit = [b for b in range(len(room)) if room[b] >= n]
+        if fit:
+            room[min(fit, key=lambda b: room[b])] -= n
+        else:
+            room.append(100 - n)
+    rows = spark.createDataFrame([(k, 0, 0, n, 0) for k, n in enumerate(sizes)], packing.PIECES).repartitionByRange(9, "length")
+    per, seen = defaultdict(list), []
+    for x in packing.pack(rows, 100).collect():
+        per[x["sequence_id"]].append((x["offset"], x["length"]))
+        seen.append((x["doc_id"], x["length"]))
+    assert sorted(seen) == list(enumerate(sizes))
+    for x in per.values():
+        assert [o for o, _ in sorted(x)] == list(itertools.accumulate((n for _, n in sorted(x)[:-1]), initial=0))
+    assert sorted(100 - sum(n for _, n in x) for x in per.values()) == sorted(room)
+
+
 def test_repeated_ids_and_clashes_in_tokens_and_packing(spark, tmp_path):
     rows = [(1, "one two", "x"), (1, "one two", "x"), (1, "three", "y"), (None, "four", None), (None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, piece string")
